@@ -1,0 +1,26 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Bounded check: reads at most ``max_rows + 1`` rows of ``df``, never all of a large one."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def small_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """``broadcast(df)`` if a bounded count proves ``df`` has at most ``max_rows`` rows.
+
+    Otherwise the frame is returned unhinted: Spark then joins by shuffle and
+    AQE may still switch to a broadcast once it has measured the real size.
+    """
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast a side whose row count is bounded by construction (e.g. at most
+    one row per campaign code of the run windows).  Callers state the bound."""
+    return F.broadcast(df)

@@ -1,0 +1,6 @@
+"""Streaming: the original batch has no stream, watermark or state, so none is built.
+
+The feature job is a batch over campaign windows; new campaigns are handled
+by re-running it for the new window and overwriting its campaign partitions
+(see ``vitrina.plans.sink``).
+"""
