@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import codes
-from ..functions.columns import CAMP, CUC, exposure, exposure_is_bad, exposure_number, not_zero
+from ..functions.columns import CAMP, CUC, exposure, exposure_is_bad, exposure_number, flag, not_zero
 from ..params import Params
 from ..sources.tables import Tables
 from .dims import CODTO, PK, PKTO, Dims
@@ -128,4 +128,4 @@ def exposure_parse(t: Tables) -> DataFrame:
     """The exposure parser applied to every plan row (FN-1 .. FN-6)."""
     return t.plan.select(CAMP, PK, PKTO, "DesExposicion", "NroPaginas",
                          exposure(F.col("DesExposicion"), F.col("NroPaginas")).alias("Exposicion"),
-                         exposure_is_bad(F.col("DesExposicion")).alias("BadText"))
+                         flag(exposure_is_bad(F.col("DesExposicion"))).alias("BadText"))
