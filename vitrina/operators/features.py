@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import CAMP, CUC, flag, guarded_inverse, not_zero, season_flags
+from .discounts import channel_columns, channel_parts_agg
 from ..params import Params
 from .dims import PKTO
 
@@ -24,9 +25,12 @@ def campaign_product_features(offers: DataFrame, orders: DataFrame, p: Params, c
 
     A campaign without an order count drops out (inner join); results whose
     lowest price is 0 are removed.  Columns are the first 36 of the output,
-    plus pages and seasonal flags; the existence flags, channel discounts and
-    sequence numbers are attached by the job.
+    plus pages and seasonal flags; with ``channels`` the offers carry the
+    per-key channel maxima (``discounts.with_channel_parts``) and the four
+    channel-discount columns are produced too.  Existence flags and sequence
+    numbers are attached by the job.
     """
+    channels = "_has_rev" in offers.columns
     joined = offers.join(orders.select(CAMP, "RealNroPedidos"), CAMP)
     agg = joined.groupBy(*FEATURE_KEYS).agg(
         F.avg("PrecioOferta").alias("PrecioOfertaProm"),
@@ -42,6 +46,7 @@ def campaign_product_features(offers: DataFrame, orders: DataFrame, p: Params, c
         F.sum("ExposicionOriginal").alias("ExposicionTotal"),
         F.max("Descuento").alias("MaxDescuento"),
         F.sum(F.coalesce(F.col("NroPaginas"), F.lit(0).cast("bigint"))).alias("NroPaginas"),
+        *(channel_parts_agg() if channels else []),
     ).filter(not_zero(F.col("PrecioOfertaMin")))
     pmin, pmax, dmax = F.col("PrecioOfertaMin"), F.col("PrecioOfertaMax"), F.col("MaxDescuento")
     orders_col = F.col("RealNroPedidos")
@@ -64,6 +69,7 @@ def campaign_product_features(offers: DataFrame, orders: DataFrame, p: Params, c
         "MaxDescuento", (dmax * dmax).alias("MaxDescuentoCuadrado"),
         flag(dmax > 0.6).alias("FlagDescuentoMayor60"),
         flag(dmax > 0.7).alias("FlagDescuentoMayor70"),
+        *([c.alias(n) for n, c in channel_columns().items()] if channels else []),
         "NroPaginas",
         *[c.alias(n) for n, c in season_flags(F.col(CAMP)).items()],
     )

@@ -17,13 +17,13 @@ from pyspark.sql import types as T
 
 from .. import codes
 from ..operators import base as base_ops
-from ..operators import discounts, estimates, flags, sequences, smoothing, support, tactics
+from ..operators import discounts, estimates, flags, smoothing, support, tactics
 from ..operators.base import OFFER_KEYS
 from ..operators.dims import prepare_dims
 from ..params import Params
 from ..sources.fixtures import fixture_tables
 from . import oracle
-from .feature_job import OUTPUT_COLUMNS, build
+from .feature_job import OUTPUT_COLUMNS, build, finish
 
 DOUBLE_COLUMNS = {
     "PrecioNormalMN", "PrecioOferta", "Exposicion", "ExposicionOriginal", "Descuento", "PrecioOfertaDol",
@@ -205,19 +205,15 @@ def _q_flags(names):
 def _q_channels(spark, sf_dir):
     st = _stages(spark, sf_dir)
     keys = st.features.select("AnioCampana", "CodCUC").distinct()
-    return discounts.attach_channel_discounts(keys, discounts.channel_discounts(st.corrected))
+    return keys.join(discounts.channel_discounts(st.corrected), ["AnioCampana", "CodCUC"], "left")
 
 
-def _q_camp_seq(spark, sf_dir):
-    return sequences.campaign_sequence(_stages(spark, sf_dir).features)
-
-
-def _q_sku_seq(spark, sf_dir):
-    return sequences.sku_sequence(_stages(spark, sf_dir).features)
+def _q_result_columns(columns):
+    return lambda spark, sf_dir: finish(_stages(spark, sf_dir)).select(*columns).distinct()
 
 
 def _q_features_full(country, p=None):
-    return lambda spark, sf_dir: _stages(spark, sf_dir, country, p).result
+    return lambda spark, sf_dir: finish(_stages(spark, sf_dir, country, p))
 
 
 PLACEMENT_FLAG_NAMES = [n for n, _ in codes.PLACEMENT_FLAGS] + [n for n, _ in codes.SIDE_FLAGS] + [
@@ -271,8 +267,8 @@ def catalogue() -> dict[str, Query]:
         Query("offer_type_flags", _q_flags(OFFER_FLAG_NAMES), KEYS + OFFER_FLAG_NAMES, "flags"),
         Query("tactic_class_flags", _q_flags(CLASS_FLAG_NAMES), KEYS + CLASS_FLAG_NAMES, "flags"),
         Query("channel_discounts", _q_channels, KEYS + discounts.CHANNEL_COLUMNS, "channels"),
-        Query("campaign_sequence", _q_camp_seq, ["AnioCampana", "NCampaign"], "camp_seq"),
-        Query("sku_sequence", _q_sku_seq, ["AnioCampana", "CodCUC", "N_Records_SKU"], "sku_seq"),
+        Query("campaign_sequence", _q_result_columns(["AnioCampana", "NCampaign"]), ["AnioCampana", "NCampaign"], "camp_seq"),
+        Query("sku_sequence", _q_result_columns(["AnioCampana", "CodCUC", "N_Records_SKU"]), ["AnioCampana", "CodCUC", "N_Records_SKU"], "sku_seq"),
         Query("feature_table", _q_features_full("S2"), OUTPUT_COLUMNS, "result"),
         Query("feature_table_bo", _q_features_full("BO"), OUTPUT_COLUMNS, "result", country="BO"),
     ]

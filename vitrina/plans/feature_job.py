@@ -28,6 +28,7 @@ from ..operators.joins import small_side
 from ..params import Params
 from ..sources.country import country_code
 from ..sources.tables import Tables
+from .settings import apply_job_options
 
 # Output columns (78) in their order.
 OUTPUT_COLUMNS = [
@@ -50,6 +51,7 @@ class Stages:
     """Intermediate frames of one run (all lazy)."""
 
     country: str
+    params: Params
     dims: Dims
     estimates: DataFrame
     base: DataFrame           # offer grain, after estimates (#BASE_1 before the layout join)
@@ -58,11 +60,13 @@ class Stages:
     offers: DataFrame         # laid out, before corrections
     supported: DataFrame      # supported (campaign, CUC) keys
     corrected: DataFrame      # offers after the three corrections
-    features: DataFrame       # OP-17 rows
-    result: DataFrame         # the 78 columns
+    features: DataFrame       # OP-17 rows with channel discounts
+    core: DataFrame           # features with the existence flags: all columns but the sequences
 
 
 def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None = None) -> Stages:
+    """The lazy plan of one run up to the flags (one Spark job when executed)."""
+    apply_job_options(t.sales.sparkSession)
     country = country if country is not None else country_code(t.country)
     d = dims if dims is not None else prepare_dims(t, p)
     est = estimates.estimate_summary(t, p, d, country)
@@ -70,21 +74,34 @@ def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None =
     clean = tactics.clean_tactics(t, p, d, scoped=True)
     totals = tactics.tactic_totals(clean)
     dollar = estimates.dollar_offer_price(t, p, d) if country == codes.DOLLAR_COUNTRY else None
+    # Offers are bounded per (campaign, CUC) by the offer-type dimension; one
+    # exchange on that key serves the corrections, the feature aggregate and
+    # the flag join.
     laid_out = offers.laid_out_offers(base, totals, dollar).repartition(CAMP, CUC)
     keys = support.supported_keys(support.supported_products(t, p, d, scoped=True))
     corrected = smoothing.corrected_offers(laid_out, keys)
 
     orders = small_side(t.orders.filter(t.orders[CAMP].between(p.all_from, p.all_to)), p.broadcast_max_rows)
-    feats = features.campaign_product_features(corrected, orders, p, country)
-    with_channels = discounts.attach_channel_discounts(feats, discounts.channel_discounts(corrected))
-    with_flags = flags.attach_flags(with_channels, flags.tactic_flags(clean))
-    result = sequences.attach_sequences(with_flags, sequences.campaign_sequence(feats),
-                                        sequences.sku_sequence(feats))
-    return Stages(country=country, dims=d, estimates=est, base=base, tactics=clean, totals=totals,
-                  offers=laid_out, supported=keys, corrected=corrected, features=feats,
-                  result=result.select(*OUTPUT_COLUMNS))
-
-
-def feature_table(t: Tables, p: Params | None = None, country: str | None = None) -> DataFrame:
-    """The 78-column feature table of one category (lazy)."""
-    return build(t, p or Params(), country).result
+    feats = features.campaign_product_features(discounts.with_channel_parts(corrected), orders, p, country)
+    core = flags.attach_flags(feats, flags.tactic_flags(clean))
+    return Stages(country=country, params=p, dims=d, estimates=est, base=base, tactics=clean, totals=totals,
+                  offers=laid_out, supported=keys, corrected=corrected, features=feats, core=core)
+
+
+def finish(st: Stages, checkpoint: bool = True) -> DataFrame:
+    """Sequence numbers and final column order.
+
+    The sequence numbers need the finished rows twice (campaign list, CUC
+    keys).  With ``checkpoint`` the rows are first written to the shared
+    checkpoint folder: the heavy plan runs once, its lineage is cut (a lost
+    executor does not recompute the fact scans), and the second job is small.
+    """
+    core = st.core.checkpoint(eager=True) if checkpoint else st.core
+    result = sequences.attach_sequences(core, st.params.max_campaigns())
+    return result.select(*OUTPUT_COLUMNS)
+
+
+def feature_table(t: Tables, p: Params | None = None, country: str | None = None,
+                  checkpoint: bool = True) -> DataFrame:
+    """The 78-column feature table of one category."""
+    return finish(build(t, p or Params(), country), checkpoint)

@@ -8,6 +8,9 @@ and ``orders``; the DuckDB oracle inlines the same expressions as CTEs.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,8 +119,52 @@ def _select(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select(*[F.expr(expr).alias(name) for name, expr in mapping.items()])
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str, country: str = DEFAULT_COUNTRY) -> Tables:
-    """The eight mapped tables over ``<sf_dir>/{part,lineitem,orders}.parquet``."""
+# Facts stored partitioned by campaign, as the production tables are.
+PARTITIONED = ("sales", "plan", "estimates", "support")
+_STORED: dict[tuple[str, str], dict] = {}
+
+
+def fixture_tables(spark: SparkSession, sf_dir: str, country: str = DEFAULT_COUNTRY,
+                   stored: bool = True) -> Tables:
+    """The eight mapped tables over ``<sf_dir>/{part,lineitem,orders}.parquet``.
+
+    With ``stored`` (default) the seven data tables are written once per
+    application into the shared checkpoint folder (facts partitioned by
+    ``AnioCampana``) and read back, so queries see what production sees:
+    partitioned parquet with pruning and pushdown, and a short lineage.
+    Otherwise they are lazy projections of the test data.
+    """
+    if not stored:
+        return mapped_tables(spark, sf_dir, country)
+    stored_tables = _store(spark, sf_dir)
+    read = {name: spark.read.schema(schema).parquet(path) for name, (path, schema) in stored_tables.items()}
+    return Tables(country=country_table(spark, country), **read).normalised()
+
+
+def _store(spark: SparkSession, sf_dir: str) -> dict:
+    from ..session import ensure_checkpoint_dir
+
+    app = spark.sparkContext.applicationId
+    key = (app, os.path.abspath(sf_dir))
+    if key in _STORED:
+        return _STORED[key]
+    mapped = mapped_tables(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vitrina-fixtures/{app}/{uuid.uuid4().hex}"
+    out = {}
+    for name in ("product", "offer_type", "sales", "plan", "estimates", "support", "orders"):
+        df = getattr(mapped, name)
+        path = f"{root}/{name}"
+        if name in PARTITIONED:
+            df.repartition("AnioCampana").write.partitionBy("AnioCampana").parquet(path)
+        else:
+            df.coalesce(1).write.parquet(path)
+        out[name] = (path, df.schema)
+    _STORED[key] = out
+    return out
+
+
+def mapped_tables(spark: SparkSession, sf_dir: str, country: str = DEFAULT_COUNTRY) -> Tables:
+    """The eight mapped tables as lazy projections of the test data."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
