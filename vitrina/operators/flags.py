@@ -54,3 +54,9 @@ def attach_flags(features: DataFrame, flags: DataFrame) -> DataFrame:
     names = [c for c in flags.columns if c not in (CAMP, CUC)]
     joined = features.join(flags, [CAMP, CUC], "left")
     return joined.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in names})
+
+
+def rollup_flags(totals_with_flags: DataFrame, names) -> DataFrame:
+    """Flags per (campaign, CUC) from flags per (campaign, CUC, offer key): the
+    maximum over offer keys (an existence over a union of groups)."""
+    return totals_with_flags.groupBy(CAMP, CUC).agg(*[F.max(n).alias(n) for n in names])

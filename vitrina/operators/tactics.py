@@ -48,16 +48,10 @@ def _maxima() -> list[Column]:
 
 
 def closed_tactic_groups(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFrame:
-    """Closed-window plan rows with a real sale code, grouped by tactic keys.
-
-    One scan and one aggregate feed both OP-7 (groups with a placement) and
-    OP-8 (``_price_pos`` = lowest positive price of the group; the minimum
-    per code over groups is the minimum over rows).
-    """
+    """Closed-window plan rows with a real sale code, grouped by tactic keys."""
     rows = _plan_rows(t, p, d, (p.closed_from, p.closed_to), scoped).filter(
         F.col("CodVenta") != codes.DUMMY_SALE_CODE)
-    return rows.groupBy(*TACTIC_KEYS).agg(
-        *_maxima(), F.min(F.when(F.col("PrecioOferta") > 0, F.col("PrecioOferta"))).alias("_price_pos"))
+    return rows.groupBy(*TACTIC_KEYS).agg(*_maxima())
 
 
 def tactics_closed(groups: DataFrame, p: Params) -> DataFrame:
@@ -81,20 +75,33 @@ def tactics_union(closed: DataFrame, open_: DataFrame) -> DataFrame:
     return closed.unionByName(open_).distinct()
 
 
-def closed_offer_price(groups: DataFrame) -> DataFrame:
+def _closed_price_rows(t: Tables, p: Params, d: Dims, scoped: bool) -> DataFrame:
+    return _plan_rows(t, p, d, (p.closed_from, p.closed_to), scoped).filter(
+        (F.col("CodVenta") != codes.DUMMY_SALE_CODE) & (F.col("PrecioOferta") > 0))
+
+
+def closed_offer_price(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFrame:
     """OP-8: lowest positive price per (campaign, CUC, offer key, offer code)."""
-    return (groups.groupBy(CAMP, CUC, PKTO, CODTO).agg(F.min("_price_pos").alias("PrecioOferta"))
-            .filter(F.col("PrecioOferta").isNotNull()))
+    return (_closed_price_rows(t, p, d, scoped).groupBy(CAMP, CUC, PKTO, CODTO)
+            .agg(F.min("PrecioOferta").alias("PrecioOferta")))
 
 
-def price_by_code(groups: DataFrame) -> DataFrame:
+def price_by_code(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFrame:
     """Offer price keyed as it is applied: by (campaign, CUC, offer code).
 
     Two offer keys with one code would make the source update pick an
     arbitrary price; the lowest is taken, so the result is deterministic.
+    A partial aggregate reduces the plan rows to one row per code before the
+    exchange, so a hot code costs one row per task.
     """
-    return (groups.groupBy(CAMP, CUC, CODTO).agg(F.min("_price_pos").alias("_price"))
-            .filter(F.col("_price").isNotNull()))
+    return (_closed_price_rows(t, p, d, scoped).groupBy(CAMP, CUC, CODTO)
+            .agg(F.min("PrecioOferta").alias("_price")))
+
+
+def _clean(priced: DataFrame) -> DataFrame:
+    page = F.coalesce(F.col("PaginaCatalogo"), F.lit(0))
+    bad_page = (F.col("DesTipoCatalogo") == codes.MAGAZINE) & ((page == 0) | (page >= codes.MAGAZINE_PAGE_LIMIT))
+    return priced.filter(not_zero(F.col("PrecioOferta")) & ~bad_page)
 
 
 def price_and_clean_tactics(tactics: DataFrame, prices: DataFrame) -> DataFrame:
@@ -103,25 +110,35 @@ def price_and_clean_tactics(tactics: DataFrame, prices: DataFrame) -> DataFrame:
     priced = (tactics.join(prices, [CAMP, CUC, CODTO], "left")
               .withColumn("PrecioOferta", F.coalesce(F.col("_price"), F.col("PrecioOferta")))
               .select(*TACTIC_COLUMNS))
-    page = F.coalesce(F.col("PaginaCatalogo"), F.lit(0))
-    bad_page = (F.col("DesTipoCatalogo") == codes.MAGAZINE) & ((page == 0) | (page >= codes.MAGAZINE_PAGE_LIMIT))
-    return priced.filter(not_zero(F.col("PrecioOferta")) & ~bad_page)
+    return _clean(priced)
 
 
 def clean_tactics(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFrame:
-    """OP-7 + OP-8 + OP-9: the cleaned tactic rows (#TMP_DMATRIZCAMPANA after its deletes)."""
-    groups = closed_tactic_groups(t, p, d, scoped)
-    tactics = tactics_union(tactics_closed(groups, p), tactics_open(t, p, d, scoped))
-    return price_and_clean_tactics(tactics, price_by_code(groups))
+    """OP-7 + OP-8 + OP-9: the cleaned tactic rows (#TMP_DMATRIZCAMPANA after its deletes).
+
+    The price per code is aggregated from the plan rows themselves and joined
+    after the distinct union, as the source does; a join (not a window)
+    keeps a hot (campaign, CUC, code) splittable by AQE's skew handling.
+    """
+    tactics = tactics_union(tactics_closed(closed_tactic_groups(t, p, d, scoped), p),
+                            tactics_open(t, p, d, scoped))
+    return price_and_clean_tactics(tactics, price_by_code(t, p, d, scoped))
 
 
-def tactic_totals(tactics: DataFrame) -> DataFrame:
+def tactic_totals(tactics: DataFrame, flags: dict[str, Column] | None = None) -> DataFrame:
     """OP-10: per (campaign, CUC, offer key) the lowest price and the summed
-    exposure and pages, nulls counted as 0."""
+    exposure and pages, nulls counted as 0.
+
+    With ``flags`` (name -> predicate) the same aggregate also carries, per
+    flag, whether some tactic of the group meets it; the flags of a
+    (campaign, CUC) are then the maxima over its offer keys (OP-18).
+    """
+    extra = [F.max(F.when(c, F.lit(1)).otherwise(F.lit(0))).alias(n) for n, c in (flags or {}).items()]
     return tactics.groupBy(CAMP, CUC, PKTO).agg(
         F.min("PrecioOferta").alias("PrecioOferta"),
         F.sum(F.coalesce(F.col("Exposicion"), F.lit(0.0))).alias("Exposicion"),
-        F.sum(F.coalesce(F.col("NroPaginas"), F.lit(0).cast("bigint"))).alias("NroPaginas"))
+        F.sum(F.coalesce(F.col("NroPaginas"), F.lit(0).cast("bigint"))).alias("NroPaginas"),
+        *extra)
 
 
 def exposure_parse(t: Tables) -> DataFrame:

@@ -150,8 +150,7 @@ def _q_tac_union(spark, sf_dir):
 
 
 def _q_price(spark, sf_dir):
-    t, p, d = _ctx(spark, sf_dir)
-    return tactics.closed_offer_price(tactics.closed_tactic_groups(t, p, d))
+    return tactics.closed_offer_price(*_ctx(spark, sf_dir))
 
 
 def _q_clean(spark, sf_dir):

@@ -64,15 +64,26 @@ class Stages:
     core: DataFrame           # features with the existence flags: all columns but the sequences
 
 
-def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None = None) -> Stages:
-    """The lazy plan of one run up to the flags (one Spark job when executed)."""
+def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None = None,
+          checkpoint: bool = True) -> Stages:
+    """The plan of one run up to the flags.
+
+    The tactics feed two consumers (offer totals and existence flags), so
+    both come out of one aggregate at (campaign, CUC, offer key).  With
+    ``checkpoint`` that aggregate is written once to the shared checkpoint
+    folder (a first job over the page plan); everything else stays lazy.
+    """
     apply_job_options(t.sales.sparkSession)
     country = country if country is not None else country_code(t.country)
     d = dims if dims is not None else prepare_dims(t, p)
     est = estimates.estimate_summary(t, p, d, country)
     base = base_ops.offer_grain_base(t, p, d, est)
     clean = tactics.clean_tactics(t, p, d, scoped=True)
-    totals = tactics.tactic_totals(clean)
+    predicates = flags.all_predicates()
+    totals_flags = tactics.tactic_totals(clean, predicates)
+    if checkpoint:
+        totals_flags = totals_flags.checkpoint(eager=True)
+    totals = totals_flags.select(CAMP, CUC, "PKTipoOferta", "PrecioOferta", "Exposicion", "NroPaginas")
     dollar = estimates.dollar_offer_price(t, p, d) if country == codes.DOLLAR_COUNTRY else None
     # Offers are bounded per (campaign, CUC) by the offer-type dimension; one
     # exchange on that key serves the corrections, the feature aggregate and
@@ -83,7 +94,7 @@ def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None =
 
     orders = small_side(t.orders.filter(t.orders[CAMP].between(p.all_from, p.all_to)), p.broadcast_max_rows)
     feats = features.campaign_product_features(discounts.with_channel_parts(corrected), orders, p, country)
-    core = flags.attach_flags(feats, flags.tactic_flags(clean))
+    core = flags.attach_flags(feats, flags.rollup_flags(totals_flags, list(predicates)))
     return Stages(country=country, params=p, dims=d, estimates=est, base=base, tactics=clean, totals=totals,
                   offers=laid_out, supported=keys, corrected=corrected, features=feats, core=core)
 

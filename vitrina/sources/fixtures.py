@@ -122,6 +122,7 @@ def _select(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 # Facts stored partitioned by campaign, as the production tables are.
 PARTITIONED = ("sales", "plan", "estimates", "support")
 _STORED: dict[tuple[str, str], dict] = {}
+_READ: dict[tuple[str, str, str], Tables] = {}
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str, country: str = DEFAULT_COUNTRY,
@@ -136,9 +137,14 @@ def fixture_tables(spark: SparkSession, sf_dir: str, country: str = DEFAULT_COUN
     """
     if not stored:
         return mapped_tables(spark, sf_dir, country)
-    stored_tables = _store(spark, sf_dir)
-    read = {name: spark.read.schema(schema).parquet(path) for name, (path, schema) in stored_tables.items()}
-    return Tables(country=country_table(spark, country), **read).normalised()
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), country)
+    if key not in _READ:
+        # One DataFrame per stored table and session: the file listing of the
+        # partitioned folders is done once and shared by all queries.
+        stored_tables = _store(spark, sf_dir)
+        read = {name: spark.read.schema(schema).parquet(path) for name, (path, schema) in stored_tables.items()}
+        _READ[key] = Tables(country=country_table(spark, country), **read).normalised()
+    return _READ[key]
 
 
 def _store(spark: SparkSession, sf_dir: str) -> dict:
