@@ -66,7 +66,8 @@ def apply_estimates(base: DataFrame, estimates: DataFrame) -> DataFrame:
     est = estimates.select(CAMP, CUC, F.col("NroEstimados").alias("_est"),
                            F.col("PrecioNormalMN").alias("_normal"), F.lit(True).alias("_has_est"))
     joined = base.join(est, [CAMP, CUC], "left")
-    kept = joined.filter(~(F.coalesce(F.col("_has_est"), F.lit(False)) & (F.col("_est") == 0)))
+    # null-safe: a null estimate sum is not 0, the row stays
+    kept = joined.filter(~F.coalesce(F.col("_has_est") & (F.col("_est") == 0), F.lit(False)))
     return (kept.withColumn("PrecioNormalMN", F.when(F.col("_has_est"), F.col("_normal")).otherwise(F.lit(0.0)))
             .drop("_est", "_normal", "_has_est"))
 
