@@ -207,6 +207,11 @@ def _q_channels(spark, sf_dir):
     return keys.join(discounts.channel_discounts(st.corrected), ["AnioCampana", "CodCUC"], "left")
 
 
+def _q_quality(spark, sf_dir):
+    from .quality import quality_metrics
+    return quality_metrics(*_ctx(spark, sf_dir))
+
+
 def _q_result_columns(columns):
     return lambda spark, sf_dir: finish(_stages(spark, sf_dir)).select(*columns).distinct()
 
@@ -269,6 +274,8 @@ def catalogue() -> dict[str, Query]:
         Query("campaign_sequence", _q_result_columns(["AnioCampana", "NCampaign"]), ["AnioCampana", "NCampaign"], "camp_seq"),
         Query("sku_sequence", _q_result_columns(["AnioCampana", "CodCUC", "N_Records_SKU"]), ["AnioCampana", "CodCUC", "N_Records_SKU"], "sku_seq"),
         Query("feature_table", _q_features_full("S2"), OUTPUT_COLUMNS, "result"),
+        Query("quality_metrics", _q_quality, ["metric", "value"], "quality", text_columns=frozenset({"metric"}),
+              extra_ctes=(oracle.quality_sql(Params()),)),
         Query("feature_table_bo", _q_features_full("BO"), OUTPUT_COLUMNS, "result", country="BO"),
     ]
     for category in codes.CATEGORIES[1:]:
