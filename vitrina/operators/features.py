@@ -20,15 +20,17 @@ def _orders_per(p: Params, units: Column, orders: Column) -> Column:
     return ratio
 
 
-def campaign_product_features(offers: DataFrame, orders: DataFrame, p: Params, country: str) -> DataFrame:
+def campaign_product_features(offers: DataFrame, orders: DataFrame, p: Params, country: str,
+                              carry: tuple[str, ...] = ()) -> DataFrame:
     """OP-17: one row per (campaign, brand, CUC, category, order count).
 
     A campaign without an order count drops out (inner join); results whose
     lowest price is 0 are removed.  Columns are the first 36 of the output,
     plus pages and seasonal flags; with ``channels`` the offers carry the
     per-key channel maxima (``discounts.with_channel_parts``) and the four
-    channel-discount columns are produced too.  Existence flags and sequence
-    numbers are attached by the job.
+    channel-discount columns are produced too.  ``carry`` names per-(campaign,
+    CUC) bitmask columns of the offers passed through as their OR (the
+    packed tactic flags).  Sequence numbers are attached by the job.
     """
     channels = "_has_rev" in offers.columns
     joined = offers.join(orders.select(CAMP, "RealNroPedidos"), CAMP)
@@ -47,6 +49,7 @@ def campaign_product_features(offers: DataFrame, orders: DataFrame, p: Params, c
         F.max("Descuento").alias("MaxDescuento"),
         F.sum(F.coalesce(F.col("NroPaginas"), F.lit(0).cast("bigint"))).alias("NroPaginas"),
         *(channel_parts_agg() if channels else []),
+        *[F.bit_or(c).alias(c) for c in carry],
     ).filter(not_zero(F.col("PrecioOfertaMin")))
     pmin, pmax, dmax = F.col("PrecioOfertaMin"), F.col("PrecioOfertaMax"), F.col("MaxDescuento")
     orders_col = F.col("RealNroPedidos")
@@ -72,4 +75,5 @@ def campaign_product_features(offers: DataFrame, orders: DataFrame, p: Params, c
         *([c.alias(n) for n, c in channel_columns().items()] if channels else []),
         "NroPaginas",
         *[c.alias(n) for n, c in season_flags(F.col(CAMP)).items()],
+        *carry,
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import codes
@@ -56,7 +58,29 @@ def attach_flags(features: DataFrame, flags: DataFrame) -> DataFrame:
     return joined.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in names})
 
 
-def rollup_flags(totals_with_flags: DataFrame, names) -> DataFrame:
-    """Flags per (campaign, CUC) from flags per (campaign, CUC, offer key): the
-    maximum over offer keys (an existence over a union of groups)."""
-    return totals_with_flags.groupBy(CAMP, CUC).agg(*[F.max(n).alias(n) for n in names])
+MASK = "_flag_mask"
+
+
+def flag_mask(predicates: dict[str, Column]) -> Column:
+    """The flags of one tactic packed into one bigint: bit i is predicate i.
+
+    Existence over a group is then a ``bit_or`` of masks, so the 36 flags
+    travel as one narrow column through joins, windows and aggregates.
+    """
+    bits = [F.when(c, F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(predicates.values())]
+    return reduce(lambda a, b: a + b, bits)
+
+
+def unpack_mask(names) -> dict[str, Column]:
+    """Bit i of the mask as the integer flag ``names[i]`` (0 where the mask is null)."""
+    mask = F.coalesce(F.col(MASK), F.lit(0).cast("bigint"))
+    return {n: F.shiftright(mask, i).bitwiseAND(F.lit(1)).cast("int") for i, n in enumerate(names)}
+
+
+def spread_mask(totals_with_mask: DataFrame) -> DataFrame:
+    """Replace each per-offer-key mask by the OR over its (campaign, CUC): the
+    flags then ride along the offers that join to these totals.  The window
+    group is one row per offer key of a CUC, bounded by the offer-type
+    dimension."""
+    w = Window.partitionBy(CAMP, CUC)
+    return totals_with_mask.withColumn(MASK, F.bit_or(MASK).over(w))

@@ -9,16 +9,18 @@ from ..functions.columns import CAMP, CUC, discount
 from .dims import PKTO
 
 
-def laid_out_offers(base: DataFrame, totals: DataFrame, dollar: DataFrame | None = None) -> DataFrame:
+def laid_out_offers(base: DataFrame, totals: DataFrame, dollar: DataFrame | None = None,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """OP-12: offer-grain base with price, exposure, pages and discount of its
     tactics.  The inner join drops offers without a tactic (not laid out).
 
     With ``dollar`` (the dollar country) the offer price is then replaced by the
     dollar price wherever one matches, also by a null one; the discount stays
-    the one computed from the local price.
+    the one computed from the local price.  ``carry`` names extra columns of
+    ``totals`` kept on the offers (the spread tactic flags).
     """
     tot = totals.select(CAMP, CUC, PKTO, F.col("PrecioOferta").alias("_price"),
-                        F.col("Exposicion").alias("_exp"), F.col("NroPaginas").alias("_pages"))
+                        F.col("Exposicion").alias("_exp"), F.col("NroPaginas").alias("_pages"), *carry)
     offers = base.join(tot, [CAMP, CUC, PKTO], "inner").withColumns({
         "PrecioOferta": F.col("_price"),
         "Exposicion": F.col("_exp"),

@@ -125,15 +125,15 @@ def clean_tactics(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFr
     return price_and_clean_tactics(tactics, price_by_code(t, p, d, scoped))
 
 
-def tactic_totals(tactics: DataFrame, flags: dict[str, Column] | None = None) -> DataFrame:
+def tactic_totals(tactics: DataFrame, mask: Column | None = None) -> DataFrame:
     """OP-10: per (campaign, CUC, offer key) the lowest price and the summed
     exposure and pages, nulls counted as 0.
 
-    With ``flags`` (name -> predicate) the same aggregate also carries, per
-    flag, whether some tactic of the group meets it; the flags of a
-    (campaign, CUC) are then the maxima over its offer keys (OP-18).
+    With ``mask`` (the flags of a tactic packed into bits, ``flags.flag_mask``)
+    the same aggregate also carries the OR of the masks of the group: bit i
+    says whether some tactic meets flag i (OP-18).
     """
-    extra = [F.max(F.when(c, F.lit(1)).otherwise(F.lit(0))).alias(n) for n, c in (flags or {}).items()]
+    extra = [] if mask is None else [F.bit_or(mask).alias("_flag_mask")]
     return tactics.groupBy(CAMP, CUC, PKTO).agg(
         F.min("PrecioOferta").alias("PrecioOferta"),
         F.sum(F.coalesce(F.col("Exposicion"), F.lit(0.0))).alias("Exposicion"),

@@ -64,14 +64,13 @@ class Stages:
     core: DataFrame           # features with the existence flags: all columns but the sequences
 
 
-def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None = None,
-          checkpoint: bool = True) -> Stages:
-    """The plan of one run up to the flags.
-
-    The tactics feed two consumers (offer totals and existence flags), so
-    both come out of one aggregate at (campaign, CUC, offer key).  With
-    ``checkpoint`` that aggregate is written once to the shared checkpoint
-    folder (a first job over the page plan); everything else stays lazy.
+def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None = None) -> Stages:
+    """The lazy plan of one run up to the flags (one Spark job when executed).
+
+    The tactics feed the offer totals and the 36 existence flags.  Both come
+    out of one aggregate at (campaign, CUC, offer key); the flags, packed into
+    one bitmask, are OR-ed over their (campaign, CUC) there and ride along
+    the offers, so the tactics have a single consumer and are computed once.
     """
     apply_job_options(t.sales.sparkSession)
     country = country if country is not None else country_code(t.country)
@@ -80,23 +79,23 @@ def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None =
     base = base_ops.offer_grain_base(t, p, d, est)
     clean = tactics.clean_tactics(t, p, d, scoped=True)
     predicates = flags.all_predicates()
-    totals_flags = tactics.tactic_totals(clean, predicates)
-    if checkpoint:
-        totals_flags = totals_flags.checkpoint(eager=True)
-    totals = totals_flags.select(CAMP, CUC, "PKTipoOferta", "PrecioOferta", "Exposicion", "NroPaginas")
+    totals_flags = flags.spread_mask(tactics.tactic_totals(clean, flags.flag_mask(predicates)))
+    names = (flags.MASK,)
     dollar = estimates.dollar_offer_price(t, p, d) if country == codes.DOLLAR_COUNTRY else None
     # Offers are bounded per (campaign, CUC) by the offer-type dimension; one
-    # exchange on that key serves the corrections, the feature aggregate and
-    # the flag join.
-    laid_out = offers.laid_out_offers(base, totals, dollar).repartition(CAMP, CUC)
+    # exchange on that key serves the corrections and the feature aggregate.
+    laid_out = offers.laid_out_offers(base, totals_flags, dollar, carry=names).repartition(CAMP, CUC)
     keys = support.supported_keys(support.supported_products(t, p, d, scoped=True))
     corrected = smoothing.corrected_offers(laid_out, keys)
 
     orders = small_side(t.orders.filter(t.orders[CAMP].between(p.all_from, p.all_to)), p.broadcast_max_rows)
-    feats = features.campaign_product_features(discounts.with_channel_parts(corrected), orders, p, country)
-    core = flags.attach_flags(feats, flags.rollup_flags(totals_flags, list(predicates)))
+    feats = features.campaign_product_features(discounts.with_channel_parts(corrected), orders, p, country,
+                                               carry=names)
+    feats = feats.withColumns(flags.unpack_mask(list(predicates))).drop(flags.MASK)
+    totals = totals_flags.select(CAMP, CUC, "PKTipoOferta", "PrecioOferta", "Exposicion", "NroPaginas")
     return Stages(country=country, params=p, dims=d, estimates=est, base=base, tactics=clean, totals=totals,
-                  offers=laid_out, supported=keys, corrected=corrected, features=feats, core=core)
+                  offers=laid_out.drop(*names), supported=keys, corrected=corrected.drop(*names),
+                  features=feats.drop(*predicates), core=feats)
 
 
 def finish(st: Stages, checkpoint: bool = True) -> DataFrame:
