@@ -82,9 +82,11 @@ def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None =
     totals_flags = flags.spread_mask(tactics.tactic_totals(clean, flags.flag_mask(predicates)))
     names = (flags.MASK,)
     dollar = estimates.dollar_offer_price(t, p, d) if country == codes.DOLLAR_COUNTRY else None
-    # Offers are bounded per (campaign, CUC) by the offer-type dimension; one
-    # exchange on that key serves the corrections and the feature aggregate.
-    laid_out = offers.laid_out_offers(base, totals_flags, dollar, carry=names).repartition(CAMP, CUC)
+    # Offers are bounded per (campaign, CUC) by the offer-type dimension.  The
+    # base (after the estimate join) and the totals (after their window) are
+    # both hash-partitioned on that key; the layout join, the correction
+    # windows and the feature aggregate reuse it (settings.JOB_OPTIONS).
+    laid_out = offers.laid_out_offers(base, totals_flags, dollar, carry=names)
     keys = support.supported_keys(support.supported_products(t, p, d, scoped=True))
     corrected = smoothing.corrected_offers(laid_out, keys)
 

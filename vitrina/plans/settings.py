@@ -14,6 +14,11 @@ JOB_OPTIONS = {
     # broadcast of sides measured small at runtime.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Offers, tactic totals and supported keys all arrive hash-partitioned on
+    # (campaign, CUC); joins on (campaign, CUC, offer key) may then reuse that
+    # partitioning instead of re-shuffling both sides.  Safe here because an
+    # offer group per (campaign, CUC) is bounded by the offer-type dimension.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Campaign codes stay strings when a partitioned table is read.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
