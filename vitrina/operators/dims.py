@@ -30,7 +30,7 @@ class Dims:
     products_described: DataFrame     # PKProducto, CodCUC, DesMarca, CodCategoria, DesCategoria (run category)
     products_cosmetic: DataFrame      # the same, cosmetics unit only
     products_in_scope: DataFrame      # PKProducto, CodCUC of every product whose CUC has a product of the category
-    scope_cucs: DataFrame             # CodCUC having a product of the category
+    scope_cucs: DataFrame             # CodCUC of the category's products (with repeats)
     offer_types: DataFrame            # PKTipoOferta, CodTipoOferta (every offer type)
     offer_types_catalogue: DataFrame  # the same, catalogue sale only
     offer_types_base: DataFrame       # catalogue sale and one of the base codes
@@ -46,8 +46,10 @@ def prepare_dims(t: Tables, p: Params) -> Dims:
 
     described = (product.filter(F.col("DesCategoria") == p.category)
                  .select(PK, CUC, "DesMarca", "CodCategoria", "DesCategoria", "DesUnidadNegocio"))
-    scope_cucs = described.select(CUC).distinct()
-    in_scope = product.select(PK, CUC).join(scope_cucs, CUC, "left_semi")
+    # A semi join emits each product at most once, so its build side needs no
+    # distinct (and no exchange for one).
+    scope_cucs = described.select(CUC)
+    in_scope = product.select(PK, CUC).join(bp(scope_cucs), CUC, "left_semi")
     catalogue = offer_type.filter(F.col("CodTipoProfit") == codes.CATALOGUE_PROFIT_TYPE).select(PKTO, CODTO)
     return Dims(
         products=bp(product.select(PK, CUC)),
