@@ -262,3 +262,21 @@ def test_params_validate():
         Params(closed_from="201801", closed_to="201701")
     assert Params().max_campaigns() == 500
     assert not math.isnan(Params().max_campaigns())
+
+
+def test_flags_see_offer_types_outside_the_base(spark):
+    # key 5 = code 001: not a base code, so no offer row; its tactic still sets the macro flag (Q9)
+    offers = w.OFFERS + [(5, "001", "01")]
+    t = w.tables(spark, [w.product(1, "A")], sales=[w.sale(CLOSED, 1, 1)],
+                 plans=[w.plan(CLOSED, 1, 1), w.plan(CLOSED, 1, 5, placement="INSERTO")],
+                 ests=[w.est(CLOSED, 1, 1)], offers=offers)
+    r = feature_table(t, Params()).collect()
+    assert len(r) == 1
+    assert (r[0].FlagTacticaMacro, r[0].UbicacionInserto, r[0].NroTipoOfertas) == (1, 1, 1)
+
+
+def test_strict_mode_rejects_zero_orders(spark):
+    t = _world(spark, [w.plan(CLOSED, 1, 1)], orders=[(CLOSED, 0)])
+    assert feature_table(t, Params()).collect()[0].PUP is None
+    with pytest.raises(Exception):
+        feature_table(t, Params(strict=True)).collect()

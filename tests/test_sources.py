@@ -1,0 +1,27 @@
+import tempfile
+
+from vitrina.params import Params
+from vitrina.plans.catalog import tidy
+from vitrina.plans.feature_job import OUTPUT_COLUMNS, feature_table
+from vitrina.sources.fixtures import fixture_tables
+from vitrina.sources.tables import SOURCE_NAMES, read_tables
+
+from conftest import SMALL_SF
+
+
+def test_read_tables_round_trip(spark):
+    """The eight tables stored under their source names (facts partitioned by
+    campaign) read back through ``read_tables`` give the same feature table."""
+    t = fixture_tables(spark, SMALL_SF)
+    root = tempfile.mkdtemp(prefix="vitrina-src-")
+    for name, src in SOURCE_NAMES.items():
+        df = getattr(t, name)
+        writer = df.write.mode("overwrite")
+        if "AnioCampana" in df.columns and name not in ("orders",):
+            writer = writer.partitionBy("AnioCampana")
+        writer.parquet(f"{root}/{src}")
+    back = read_tables(spark, root)
+    assert dict(back.sales.dtypes)["AnioCampana"] == "string"
+    a = tidy(feature_table(t, Params(), "SV"), OUTPUT_COLUMNS).collect()
+    b = tidy(feature_table(back, Params()), OUTPUT_COLUMNS).collect()
+    assert len(a) > 0 and sorted(map(tuple, a)) == sorted(map(tuple, b))
