@@ -45,3 +45,22 @@ def test_plan_prunes_and_pushes_down(spark):
     assert "PartitionFilters: [isnotnull(AnioCampana" in plan and "201401" in plan
     assert "ReadSchema: struct<AnioCampanaRef:string,PKProducto:bigint,PKTipoOferta:bigint," in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_core_plan_shape(spark):
+    """No dynamic-pruning copies; every fact is scanned a bounded number of times; the
+    only shuffles of the line-item-sized facts come after partial aggregates."""
+    from vitrina.plans.feature_job import build
+    t = fixture_tables(spark, SMALL_SF)
+    st = build(t, Params(), "SV")
+    optimized = st.core._jdf.queryExecution().optimizedPlan().toString()
+    assert "dynamicpruning" not in optimized.lower()
+    relations = [line for line in optimized.splitlines() if "Relation [" in line]
+    # marker column of each fact -> most scans (the plan: open base rows, closed groups, open groups,
+    # closed prices; the first two and the last read disjoint or pruned column sets)
+    for marker, most in [("RealUUVendidas", 1), ("EstUUVendidas", 1), ("PKProductoApoyado", 1),
+                         ("DesExposicion", 4)]:
+        n = sum(1 for line in relations if marker in line)
+        assert 1 <= n <= most, (marker, n)
+    physical = st.core._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Exchange hashpartitioning") <= 25

@@ -18,9 +18,3 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     AQE may still switch to a broadcast once it has measured the real size.
     """
     return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose row count is bounded by construction (e.g. at most
-    one row per campaign code of the run windows).  Callers state the bound."""
-    return F.broadcast(df)
