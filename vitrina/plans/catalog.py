@@ -49,13 +49,15 @@ def _kind(name: str, text_cols=frozenset()) -> str:
 
 
 def tidy(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns in the catalogue order; integers as bigint, doubles rounded to 6 digits."""
+    """Columns in the catalogue order; integers as bigint, doubles rounded to 9 then 6 digits."""
     out = []
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     for name in columns:
         dt = types[name]
         if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
-            out.append((F.round(F.col(name).cast("double"), 6) + F.lit(0.0)).alias(name))
+            # 9 decimals first: summation-order noise (last bits) cannot move a value across a
+            # rounding tie at the 7th decimal
+            out.append((F.round(F.round(F.col(name).cast("double"), 9), 6) + F.lit(0.0)).alias(name))
         elif isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
             out.append(F.col(name).cast("bigint").alias(name))
         else:
