@@ -48,16 +48,32 @@ def _kind(name: str, text_cols=frozenset()) -> str:
     return "d" if name in DOUBLE_COLUMNS else "i"
 
 
+def _round_half_up(x, digits: int):
+    scale = float(10 ** digits)
+    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
+def _round_for_compare(x):
+    """Round to 9 and then to 6 decimals with one explicit binary formula,
+    ``floor(x * 10^n + 0.5) / 10^n``, written identically in the oracle SQL.
+
+    Built-in ``round`` differs between engines at decimal ties (Spark rounds
+    the shortest decimal string, DuckDB the binary value); IEEE multiply,
+    add, floor and divide do not.  The 9-decimal step absorbs last-bit
+    summation-order noise, so a value at an exact half stays at it.
+    """
+    return _round_half_up(_round_half_up(x, 9), 6) + F.lit(0.0)
+
+
 def tidy(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns in the catalogue order; integers as bigint, doubles rounded to 9 then 6 digits."""
+    """Columns in the catalogue order; integers as bigint, doubles rounded to 9 then 6 digits
+    (``_round_for_compare``)."""
     out = []
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     for name in columns:
         dt = types[name]
         if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
-            # 9 decimals first: summation-order noise (last bits) cannot move a value across a
-            # rounding tie at the 7th decimal
-            out.append((F.round(F.round(F.col(name).cast("double"), 9), 6) + F.lit(0.0)).alias(name))
+            out.append(_round_for_compare(F.col(name).cast("double")).alias(name))
         elif isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
             out.append(F.col(name).cast("bigint").alias(name))
         else:
