@@ -56,8 +56,8 @@ def test_core_plan_shape(spark):
     optimized = st.core._jdf.queryExecution().optimizedPlan().toString()
     assert "dynamicpruning" not in optimized.lower()
     relations = [line for line in optimized.splitlines() if "Relation [" in line]
-    # marker column of each fact -> most scans (the plan: open base rows, closed groups, open groups,
-    # closed prices; the first two and the last read disjoint or pruned column sets)
+    # marker column of each fact -> most scans; the plan is read for the open base rows, the
+    # closed tactic groups, the open tactic groups and the closed prices (pruned to their columns)
     for marker, most in [("RealUUVendidas", 1), ("EstUUVendidas", 1), ("PKProductoApoyado", 1),
                          ("DesExposicion", 4)]:
         n = sum(1 for line in relations if marker in line)
