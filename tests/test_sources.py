@@ -9,6 +9,29 @@ from vitrina.sources.tables import SOURCE_NAMES, read_tables
 from conftest import SMALL_SF
 
 
+def _store_sources(spark, t):
+    root = tempfile.mkdtemp(prefix="vitrina-src-")
+    for name, src in SOURCE_NAMES.items():
+        df = getattr(t, name)
+        writer = df.write.mode("overwrite")
+        if "AnioCampana" in df.columns and name != "orders":
+            writer = writer.partitionBy("AnioCampana")
+        writer.parquet(f"{root}/{src}")
+    return root
+
+
+def test_command_line_run(spark):
+    from vitrina.__main__ import parse, run
+    t = fixture_tables(spark, SMALL_SF)
+    root = _store_sources(spark, t)
+    out = tempfile.mkdtemp(prefix="vitrina-out-") + "/features"
+    run(spark, parse(["--root", root, "--out", out, "--category", "FRAGANCIAS"]))
+    back = spark.read.parquet(out)
+    assert back.count() > 0
+    assert {r.DesCategoria for r in back.select("DesCategoria").distinct().collect()} == {"FRAGANCIAS"}
+    assert len(back.columns) == 78
+
+
 def test_read_tables_round_trip(spark):
     """The eight tables stored under their source names (facts partitioned by
     campaign) read back through ``read_tables`` give the same feature table."""
