@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import vitrina
 from vitrina.session import ensure_checkpoint_dir
 
 #: The white space of the word and line contracts: \x20 and \x09-\x0D.
@@ -31,6 +36,28 @@ def held_out(doc_id: Column) -> Column:
     return fold(doc_id) == 2
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the application's executors, once, as ``spark-submit --py-files`` would."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(vitrina.__file__).parent
+        target = Path(tempfile.mkdtemp(prefix="vitrina-code-"), "vitrina.zip")
+        with zipfile.ZipFile(target, "w") as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, source.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(target))
+        _shipped.add(app)
+
+
+def map_arrow(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package importable in the tasks."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(func, schema)
+
+
 def shared_table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once below the cluster's shared checkpoint folder and read it back.
 
@@ -43,21 +70,20 @@ def shared_table(df: DataFrame, label: str) -> DataFrame:
 
 
 def text_blocks(batches: Iterable[pa.RecordBatch], text_col: str,
-                max_chars: int = 10_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Consecutive slices of the batches with their texts (null as ''), each of about ``max_chars`` at most.
+                max_bytes: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Consecutive slices of the batches with their texts (null as ''), each of about ``max_bytes`` of text at most.
 
     A text is never cut: one longer than the bound is a block of its own.
     """
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
-        start = chars = 0
-        for i, text in enumerate(texts):
-            if chars and chars + len(text) > max_chars:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, chars = i, 0
-            chars += len(text)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        column = batch.column(batch.schema.get_field_index(text_col))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + max_bytes, "right")))
+            yield batch.slice(start, stop - start), [t or "" for t in column.slice(start, stop - start).to_pylist()]
+            start = stop
 
 
 class WordNumbers(dict):

@@ -6,10 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrina.llm import bpe
+from vitrina.llm import bpe, exact_dedup, line_dedup, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
+    "op7_toxicity": toxicity.op7_toxicity,
+    "op9_packing": packing.op9_packing,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op10_line_dedup": line_dedup.OP10_SQL,
+}
