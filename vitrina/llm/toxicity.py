@@ -24,7 +24,7 @@ from vitrina.llm.common import WordNumbers, held_out, map_arrow, mix64, shared_t
 
 BITS = 20
 #: The labelled sample: so many rows in order of a hash of their id, of texts up to so many characters.
-SAMPLE_ROWS, SAMPLE_CHARS = 12_000, 40_000
+SAMPLE_ROWS, SAMPLE_CHARS = 20_000, 40_000
 THRESHOLD = 0.3
 _WORDS = re.compile(r"\w+")
 
@@ -71,8 +71,8 @@ class Features:
         return np.concatenate(docs), (np.concatenate(places) >> np.uint64(64 - self.bits)).astype(np.int64)
 
 
-def train(rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = 3, alpha: float = 0.3, beta: float = 1.0,
-          l1: float = 0.6, l2: float = 1.0) -> Model:
+def train(rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = 5, alpha: float = 2.0, beta: float = 1.0,
+          l1: float = 3.0, l2: float = 0.1) -> Model:
     """FTRL-proximal over (distinct places, label), in the order given; the bias has no penalty."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     bias_z = bias_n = 0.0
