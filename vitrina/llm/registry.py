@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrina.llm import bpe, exact_dedup, language_id, line_dedup, packing, quality_rules, toxicity
+from vitrina.llm import bpe, exact_dedup, language_id, line_dedup, near_dedup, packing, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
+    "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_packing": packing.op9_packing,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op6_near_dedup": near_dedup.OP6_SQL,
     "op8_quality_rules": quality_rules.OP8_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
 }
