@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrina.llm import bpe, exact_dedup, language_id, line_dedup, near_dedup, packing, quality_rules, resampling, toxicity
+from vitrina.llm import bpe, exact_dedup, html_main_text, language_id, line_dedup, near_dedup, packing, quality_rules, resampling, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_resampling": resampling.op3_resampling,
+    "op4_main_text": html_main_text.op4_main_text,
     "op5_bpe_round_trip": bpe.op5_bpe_round_trip,
     "op6_near_dedup": near_dedup.op6_near_dedup,
     "op7_toxicity": toxicity.op7_toxicity,
