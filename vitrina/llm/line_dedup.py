@@ -79,6 +79,17 @@ def without_recurring_lines(df: DataFrame, id_col: str = "doc_id", text_col: str
     return rows.join(marks.hint("shuffle_hash"), match, "left").select("row", "text", "dropped")
 
 
+def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The rows, all columns as they are but for the text of documents that lose lines and, where there is one, its length."""
+    found = without_recurring_lines(df, id_col, text_col)
+    changed = F.col("dropped").isNotNull()
+    found = found.select("row", changed.alias("changed"), kept_text(F.col("text"), F.col("dropped")).alias("kept"))
+    replaced = {text_col: F.col("kept"), chars_col: F.length("kept")}
+    return found.select(*[
+        F.when(F.col("changed"), replaced[c].cast(df.schema[c].dataType)).otherwise(F.col("row")[c]).alias(c) if c in replaced else F.col("row")[c].alias(c)
+        for c in df.columns])
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return without_recurring_lines(docs).select(
