@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import WordNumbers, ranges, table, text_blocks
+from vitrina.llm.common import WordNumbers, map_arrow, ranges, table, text_blocks
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 #: Latin text and common punctuation: NFC leaves it as it is, and case and classes are the same in every Unicode version.
@@ -76,7 +76,7 @@ class Rows:
 class PairIndexBPE:
     """Encoder and decoder for a vocabulary with word ends; remembers the words it has met, up to a bound."""
 
-    def __init__(self, path: str, remembered: int = 1_000_000) -> None:
+    def __init__(self, path: str, remembered: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -241,25 +241,32 @@ def coder(vocabulary: str = DEFAULT_VOCABULARY) -> PairIndexBPE:
 
 
 def encode_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """(id, ids): ids as packed little-endian unsigned 32-bit integers, four bytes a token."""
+                     vocabulary: str = DEFAULT_VOCABULARY, decoded: bool = False) -> DataFrame:
+    """(id, ids[, text]): ids as packed little-endian unsigned 32-bit integers, four bytes a token.
+
+    With ``decoded``, ``text`` is what the ids decode to, made in the same pass.
+    """
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(vocabulary)
         for rows, texts in text_blocks(batches, "text"):
             ids, sizes = bpe.encode(texts)
-            packed, ends = ids.astype("<u4").tobytes(), 4 * np.cumsum(sizes)
-            parts = [packed[e - 4 * s:e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
-            yield pa.record_batch([rows.column(0), pa.array(parts, pa.binary())], names=["id", "ids"])
+            ids, ends = ids.astype("<u4"), np.cumsum(sizes)
+            parts = [ids[e - s:e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
+            columns, names = [rows.column(0), pa.array([p.tobytes() for p in parts], pa.binary())], ["id", "ids"]
+            if decoded:  # several times as long as the ids
+                columns, names = [*columns, pa.array(map(bpe.decode, parts), pa.string())], [*names, "text"]
+            yield pa.record_batch(columns, names=names)
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(encode, f"id {kind}, ids binary").withColumnRenamed("id", id_col)
+    schema = f"id {kind}, ids binary" + ", text string" * decoded
+    return map_arrow(source, encode, schema).withColumnRenamed("id", id_col)
 
 
 def decode_documents(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids",
                      vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
-    """(id, ids, text): the text of packed ids; null ids count as none."""
+    """(id, text): the text of packed ids; null ids count as none."""
     source = df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,16 +275,15 @@ def decode_documents(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids"
             for at in range(0, batch.num_rows, 500):  # decoded texts are several times their ids
                 rows = batch.slice(at, 500)
                 texts = [bpe.decode(np.frombuffer(i or b"", "<u4")) for i in rows.column(1).to_pylist()]
-                yield pa.record_batch([rows.column(0), rows.column(1), pa.array(texts, pa.large_string()).cast(pa.string())],
-                                      names=["id", "ids", "text"])
+                yield pa.record_batch([rows.column(0), pa.array(texts, pa.string())], names=["id", "text"])
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(decode, f"id {kind}, ids binary, text string").withColumnRenamed("id", id_col)
+    return map_arrow(source, decode, f"id {kind}, text string").withColumnRenamed("id", id_col)
 
 
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    coded = decode_documents(encode_documents(docs))
+    coded = encode_documents(docs, decoded=True)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
