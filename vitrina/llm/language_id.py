@@ -281,13 +281,17 @@ def label_words(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value)
         for rows, texts in text_blocks(batches, "text"):
-            found, counts = labeller.words_of(texts)
-            best, spans, end = found.argmax(axis=1), [], 0
+            if labeller.model.languages:
+                found, counts = labeller.words_of(texts)
+                best = found.argmax(axis=1)
+            else:
+                counts = np.zeros(len(texts), np.int64)
+            spans, end = [], 0
             for n in counts.tolist():
-                own, end = best[end:end + n], end + n
-                cuts = np.flatnonzero(np.diff(own, prepend=-1)) if n else np.zeros(0, np.int64)
-                spans.append([{"lang": labeller.model.languages[own[a]], "words": int(b - a)}
-                              for a, b in zip(cuts, [*cuts[1:], n], strict=True)])
+                own, end = best[end:end + n] if n else [], end + n
+                cuts = [0, *(np.flatnonzero(np.diff(own)) + 1).tolist(), n] if n else [0]
+                spans.append([{"lang": labeller.model.languages[own[a]], "words": b - a}
+                              for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
             yield pa.record_batch([rows.column("id"), pa.array(spans, pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())])))],
                                   names=["id", "spans"])
 

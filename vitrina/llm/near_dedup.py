@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.llm.common import map_arrow, shared_table, ship_package, table, text_blocks
@@ -33,9 +33,17 @@ MIN_PERCENT = 85
 BLOCK_SETS, BLOCK_SHINGLES = 400, 500_000
 
 
+def text_print(text_col: str) -> Column:
+    """With the id, tells rows apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def set_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, n, h1, h2, bands): size, 128-bit digest and band keys of each row's shingle set; no keys if it is empty."""
-    source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
+    """(id, print, n, h1, h2, bands): size, 128-bit digest and band keys of each row's shingle set; no keys if it is empty.
+
+    ``print`` is ``text_print`` of the text.
+    """
+    source = df.select(F.col(id_col).alias("id"), text_print(text_col).alias("print"), F.col(text_col).cast("string").cast("binary").alias("text"))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = ShingleSets()
@@ -47,11 +55,11 @@ def set_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", band
             ends = np.concatenate(([0], np.cumsum(np.where(sizes > 0, bands, 0)))).astype(np.int32)
             high, low = _digests(sets)
             yield pa.record_batch(
-                [batch.column("id"), pa.array(sizes), pa.array(high), pa.array(low),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))], names=["id", "n", "h1", "h2", "bands"])
+                [batch.column("id"), batch.column("print"), pa.array(sizes), pa.array(high), pa.array(low),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))], names=["id", "print", "n", "h1", "h2", "bands"])
 
     kind = source.schema["id"].dataType.simpleString()
-    return map_arrow(source, digest, f"id {kind}, n bigint, h1 bigint, h2 bigint, bands array<bigint>")
+    return map_arrow(source, digest, f"id {kind}, print bigint, n bigint, h1 bigint, h2 bigint, bands array<bigint>")
 
 
 def _digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -145,7 +153,7 @@ def confirmed_links(df: DataFrame, member: DataFrame, id_col: str = "doc_id", te
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = MIN_PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id) of every row; component_id is the smallest id reachable, null if there is none."""
+    """(id, print, n_shingles, component_id) of every row; component_id is the smallest id reachable, null if there is none."""
     rows = shared_table(set_rows(df, id_col, text_col), "set-rows")
     classes = shared_table(rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands")), "classes")
     known = classes.where(F.col("rep").isNotNull()).withColumnRenamed("rep", "id")
@@ -159,29 +167,28 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = named.join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").select(
         "h1", "h2", "n", F.coalesce("root", "rep").alias("root"))
     return rows.join(named, ["h1", "h2", "n"], "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.col("id").alias(id_col), "print", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("root")).alias("component_id"))
 
 
 def without_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = MIN_PERCENT) -> DataFrame:
     """The rows, all columns as they are, of the document with the smallest id of each group.
 
-    Rows without an id stay if they are linked with no id; of repeated rows (same id) all stay or go together.
+    Rows without an id stay if they are linked with no id; repeated rows stay or go together.
     """
     groups = near_duplicates(df, id_col, text_col, percent)
-    gone = groups.where(F.col("component_id").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("component_id")))
-    return _without(df, gone.select(F.col(id_col).alias("gone")).distinct(), id_col)
-
-
-def _without(df: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).alias("key"))
-    kept = rows.join(shared_table(gone, "gone").hint("shuffle_hash"), rows["key"].eqNullSafe(F.col("gone")), "left_anti")
+    gone = shared_table(groups.where(F.col("component_id").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("component_id")))
+                        .select(F.col(id_col).alias("gone"), F.col("print").alias("gone_print")).distinct(), "gone")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).alias("key"),
+                     text_print(text_col).alias("print"))
+    same = rows["key"].eqNullSafe(gone["gone"]) & (rows["print"] == gone["gone_print"])
+    kept = rows.join(gone.hint("shuffle_hash"), same, "left_anti")
     return kept.select(*[F.col("row")[c].alias(c) for c in df.columns])
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_duplicates(docs).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return near_duplicates(docs).drop("print").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 OP6_SQL = r"""
