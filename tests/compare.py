@@ -7,7 +7,7 @@ from collections import Counter
 
 from pyspark.sql import SparkSession
 
-from .catalog import Query
+from vitrina.plans.catalog import Query
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 

@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from vitrina.functions.columns import exposure, exposure_is_bad
@@ -35,12 +36,14 @@ def test_country_recode_and_single_row(spark):
 
 def test_exposure_texts(spark):
     texts = [("SIN EXPOSICION", 2), ("50%", 2), ("EXPOSICION  100%", 2), (None, 2), ("", 2),
-             ("EXPOSICION 50%", 2), ("100.0%", 2), ("50%", None)]
+             ("EXPOSICION 50%", 2), ("100.0%", 2), ("50%", None), ("NAN%", 2), ("INF", 2), ("50D", 2), ("1F", 2),
+             ("1E3%", 2), ("-5%", 2), (".5%", 2), (".", 2)]
     df = spark.createDataFrame(texts, "t string, n bigint").select(
         exposure(F.col("t"), F.col("n")).alias("e"), exposure_is_bad(F.col("t")).alias("bad"))
     got = [(r.e, bool(r.bad)) for r in df.collect()]
     assert got == [(0.0, False), (1.0, False), (2.0, False), (0.0, False), (0.0, False),
-                   (0.0, True), (0.0, False), (None, False)]
+                   (0.0, True), (0.0, False), (None, False), (0.0, True), (0.0, True), (0.0, True), (0.0, True),
+                   (0.0, True), (-0.1, False), (0.01, False), (0.0, True)]
 
 
 def _offers(spark, data):
@@ -113,8 +116,8 @@ def test_channel_discounts(spark):
     o = _offers(spark, [(CLOSED, "A", "003", 5.0, 10.0, 0.5, 1.0, 0, 1),
                         (CLOSED, "B", "003", 5.0, None, None, 1.0, 0, 1),
                         (CLOSED, "B", "011", 5.0, None, None, 1.0, 1, 0)])
-    out = discounts.channel_discounts(o)
-    got = {r.CodCUC: r for r in out.collect()}
+    parts = discounts.with_channel_parts(o).groupBy("CodCUC").agg(*discounts.channel_parts_agg())
+    got = {r.CodCUC: r for r in parts.select("CodCUC", *[c.alias(n) for n, c in discounts.channel_columns().items()]).collect()}
     a, b = got["A"], got["B"]
     assert (a.MaxDescuentoRevista, a.MaxDescuentoCatalogo, a.FactorDemoCatalogo, a.FlagMaxDescuentoRevista) == (
         0.5, 0.0, 0.0, 1)
@@ -250,7 +253,7 @@ def test_text_hygiene_at_ingest(spark):
 
 def test_strict_mode_rejects_bad_exposure(spark):
     t = _world(spark, [w.plan(CLOSED, 1, 1, exposure="EXPOSICION 50%")])
-    with pytest.raises(Exception):
+    with pytest.raises(PySparkException, match="unparsable exposure text"):
         tactics.clean_tactics(t, Params(strict=True), prepare_dims(t, Params())).collect()
     assert tactics.clean_tactics(t, Params(), prepare_dims(t, Params())).count() == 1
 
@@ -260,6 +263,8 @@ def test_params_validate():
         Params(closed_from="2014")
     with pytest.raises(ValueError):
         Params(closed_from="201801", closed_to="201701")
+    with pytest.raises(ValueError):
+        Params(open_from="201710")
     assert Params().max_campaigns() == 500
     assert not math.isnan(Params().max_campaigns())
 
@@ -278,5 +283,26 @@ def test_flags_see_offer_types_outside_the_base(spark):
 def test_strict_mode_rejects_zero_orders(spark):
     t = _world(spark, [w.plan(CLOSED, 1, 1)], orders=[(CLOSED, 0)])
     assert feature_table(t, Params()).collect()[0].PUP is None
-    with pytest.raises(Exception):
+    with pytest.raises(PySparkException, match="order count 0"):
         feature_table(t, Params(strict=True)).collect()
+
+
+def test_ingest_types_and_missing_columns(spark):
+    from vitrina.sources.tables import normalise
+    orders = normalise(spark.createDataFrame([(201401, 5)], "AnioCampana int, RealNroPedidos int"), "orders")
+    assert orders.dtypes == [("AnioCampana", "string"), ("RealNroPedidos", "bigint")] and orders.first()[0] == "201401"
+    priced = spark.createDataFrame([(1,)], "x int").select(*[
+        (F.lit("1.25").cast("decimal(9,2)") if kind == "double" else F.lit(None).cast(kind)).alias(c)
+        for c, kind in __import__("vitrina.sources.tables", fromlist=["COLUMNS"]).COLUMNS["estimates"].items()])
+    out = normalise(priced, "estimates")
+    assert dict(out.dtypes)["PrecioOfertaDol"] == "double" and out.first().PrecioOfertaDol == 1.25
+    with pytest.raises(ValueError, match="DesLadoPag"):
+        normalise(spark.createDataFrame([("201401",)], "AnioCampana string"), "plan")
+
+
+def test_compared_values_keep_their_digits(spark):
+    from vitrina.plans.catalog import significant
+    values = [1 / 1437.31, 1 / 1437.32, 1.44e10, 9.3e18, 0.0, -2.5, 1e-9, float(96001) ** 2]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(significant(F.col("v"))).collect()]
+    assert got[0] != got[1] and got[2:] == values[2:]
+    assert got[0] == pytest.approx(values[0], rel=1e-9)

@@ -2,7 +2,8 @@ import tempfile
 
 from vitrina.params import Params
 from vitrina.plans.catalog import tidy
-from vitrina.plans.feature_job import OUTPUT_COLUMNS, feature_table
+from vitrina.codes import OUTPUT_COLUMNS
+from vitrina.plans.feature_job import feature_table
 from vitrina.sources.fixtures import fixture_tables
 from vitrina.sources.tables import SOURCE_NAMES, read_tables
 

@@ -1,8 +1,8 @@
 """Run the feature job on stored source tables.
 
-    spark-submit -m vitrina --root <folder with the 8 tables> --out <feature table path> \\
+    python -m vitrina --root <folder with the 8 tables> --out <feature table path> \\
         [--category "FRAGANCIAS"] [--closed-from 201401 --closed-to 201714 --open-from 201715 --open-to 201806] \\
-        [--strict] [--format parquet]
+        [--strict] [--format parquet] [--normalised]
 
 The eight tables are read from ``<root>/<source name>`` (DPais, DPRODUCTO, DTIPOOFERTA, FVTAPROEBECAMC01,
 DMATRIZCAMPANA, FVTAPROCAMMES, DAPOYOPRODUCTO, FNUMPEDCAM); the result is written partitioned by campaign,
@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 
 from .params import Params
 from .plans.feature_job import feature_table
+from .plans.settings import job_session
 from .plans.sink import write_features
 from .session import ensure_checkpoint_dir
 from .sources.tables import read_tables
@@ -28,6 +29,7 @@ def parse(argv=None) -> argparse.Namespace:
     ap.add_argument("--root", required=True, help="folder holding the eight source tables")
     ap.add_argument("--out", required=True, help="output path of the feature table")
     ap.add_argument("--format", default="parquet", help="storage format of the source tables")
+    ap.add_argument("--normalised", action="store_true", help="the tables were written by store_tables")
     ap.add_argument("--category", default=defaults.category)
     ap.add_argument("--closed-from", default=defaults.closed_from)
     ap.add_argument("--closed-to", default=defaults.closed_to)
@@ -43,7 +45,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     p = Params(closed_from=args.closed_from, closed_to=args.closed_to, open_from=args.open_from,
                open_to=args.open_to, category=args.category, development_to=args.development_to,
                strict=args.strict)
-    write_features(feature_table(read_tables(spark, args.root, args.format), p), args.out)
+    tables = read_tables(job_session(spark), args.root, args.format, normalised=args.normalised)
+    write_features(feature_table(tables, p), args.out)
 
 
 def main(argv=None) -> None:

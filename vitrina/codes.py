@@ -101,3 +101,18 @@ DOLLAR_COUNTRY = "BO"
 SUPPORT_LIMIT = 10
 # Magazine pages at or above this number are reactions, not tactics.
 MAGAZINE_PAGE_LIMIT = 100
+
+# Output columns (78) in their order.
+OUTPUT_COLUMNS = [
+    "CodPais", "AnioCampana", "DesMarca", "CodCUC", "CodCategoria", "DesCategoria", "N_Records_SKU",
+    "NCampaign", "Development", "RealNroPedidos", "PrecioOfertaProm", "PrecioOfertaMin",
+    "PrecioOfertaMinAlCuadrado", "PrecioOfertaMinInverso", "PrecioOfertaMax", "PrecioOfertaMaxAlCuadrado",
+    "PrecioOfertaMaxInverso", "PrecioNormalMN", "NroTipoOfertas", "NroTipoOfertasCatalogo",
+    "NroTipoOfertasRevista", "RealUUDemandadas", "PUP", "ExposicionMin", "ExposicionMinRaizCuadrada",
+    "ExposicionMax", "ExposicionMaxRaizCuadrada", "ExposicionTotal", "MaxDescuento", "MaxDescuentoCuadrado",
+    "FlagDescuentoMayor60", "FlagDescuentoMayor70", "MaxDescuentoRevista", "MaxDescuentoCatalogo",
+    "FactorDemoCatalogo", "FlagMaxDescuentoRevista",
+    *[n for n, _ in PLACEMENT_FLAGS], *[n for n, _ in SIDE_FLAGS],
+    "NroPaginas", "FotoProducto", "FotoModelo", "FlagDiscover", "FlagTacticaMacro", "FlagTacticaDetallada",
+    *[n for n, _ in SEASON_FLAGS], "FlagRegalo", *[n for n, _ in OFFER_TYPE_FLAGS],
+]

@@ -11,28 +11,31 @@ CAMP = "AnioCampana"
 CUC = "CodCUC"
 
 
-def col(name: str) -> Column:
-    return F.col(name)
-
-
 def exposure_number(text: Column) -> Column:
     """Numeric part of an exposure text such as ``'EXPOSICION  50%'`` or ``'SIN EXPOSICION'``.
 
     Drop the no-exposure marker and ``%``, trim right, keep the last four
     characters and read them as a number; null and empty read as 0.  A text
-    that is still not a number also reads as 0 here (``try_cast``); it is
-    counted by :func:`exposure_is_bad` and rejected in strict mode.
+    that is still not a plain decimal number (also ``NaN``, ``Inf``, ``50D`` or
+    ``1e3``) reads as 0 here; it is counted by :func:`exposure_is_bad` and
+    rejected in strict mode.
     """
-    tail = F.right(F.rtrim(F.replace(F.replace(text, F.lit(codes.NO_EXPOSURE_TEXT), F.lit("")),
-                                     F.lit("%"), F.lit(""))), F.lit(4))
-    return F.coalesce(tail.try_cast("double"), F.lit(0.0))
+    return F.coalesce(_decimal(_tail(text)), F.lit(0.0))
 
 
 def exposure_is_bad(text: Column) -> Column:
     """True where the exposure text is not empty and still not a number."""
-    tail = F.right(F.rtrim(F.replace(F.replace(text, F.lit(codes.NO_EXPOSURE_TEXT), F.lit("")),
-                                     F.lit("%"), F.lit(""))), F.lit(4))
-    return (F.trim(tail) != F.lit("")) & tail.try_cast("double").isNull()
+    return (F.trim(_tail(text)) != F.lit("")) & _decimal(_tail(text)).isNull()
+
+
+def _tail(text: Column) -> Column:
+    return F.right(F.rtrim(F.replace(F.replace(text, F.lit(codes.NO_EXPOSURE_TEXT), F.lit("")), F.lit("%"), F.lit(""))),
+                   F.lit(4))
+
+
+def _decimal(tail: Column) -> Column:
+    """The number a plain decimal text stands for, else null."""
+    return F.when(tail.rlike(r"^ *[+-]?\d*\.?\d*$"), tail.try_cast("double"))
 
 
 def exposure(text: Column, pages: Column) -> Column:

@@ -1,9 +1,7 @@
-"""Dimension frames of one run, prepared once (filters + broadcast decision).
+"""Dimension frames of one run: the filters and projections that several operators join with.
 
-The product and offer-type dimensions are joined by several operators.  Their
-broadcast hint is decided here, once per run, by a bounded row count; frames
-derived from a dimension (a filter, a projection) are never larger, so they
-inherit the decision.
+There are no hints: Spark broadcasts a dimension that its size estimate, or
+the size measured at runtime, puts below ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
 from __future__ import annotations
@@ -17,7 +15,6 @@ from .. import codes
 from ..functions.columns import CUC
 from ..params import Params
 from ..sources.tables import Tables
-from .joins import has_at_most
 
 PK = "PKProducto"
 PKTO = "PKTipoOferta"
@@ -39,26 +36,20 @@ class Dims:
 def prepare_dims(t: Tables, p: Params) -> Dims:
     product = t.product
     offer_type = t.offer_type
-    hint_product = has_at_most(product, p.broadcast_max_rows)
-    hint_offer = has_at_most(offer_type, p.broadcast_max_rows)
-    bp = (lambda df: F.broadcast(df)) if hint_product else (lambda df: df)
-    bo = (lambda df: F.broadcast(df)) if hint_offer else (lambda df: df)
-
     described = (product.filter(F.col("DesCategoria") == p.category)
                  .select(PK, CUC, "DesMarca", "CodCategoria", "DesCategoria", "DesUnidadNegocio"))
     # A semi join emits each product at most once, so its build side needs no
     # distinct (and no exchange for one).
     scope_cucs = described.select(CUC)
-    in_scope = product.select(PK, CUC).join(bp(scope_cucs), CUC, "left_semi")
+    in_scope = product.select(PK, CUC).join(scope_cucs, CUC, "left_semi")
     catalogue = offer_type.filter(F.col("CodTipoProfit") == codes.CATALOGUE_PROFIT_TYPE).select(PKTO, CODTO)
     return Dims(
-        products=bp(product.select(PK, CUC)),
-        products_described=bp(described.drop("DesUnidadNegocio")),
-        products_cosmetic=bp(described.filter(F.col("DesUnidadNegocio") == codes.COSMETICS_UNIT)
-                             .drop("DesUnidadNegocio")),
-        products_in_scope=bp(in_scope),
-        scope_cucs=bp(scope_cucs),
-        offer_types=bo(offer_type.select(PKTO, CODTO)),
-        offer_types_catalogue=bo(catalogue),
-        offer_types_base=bo(catalogue.filter(F.col(CODTO).isin(*codes.OFFER_CODES_ALL))),
+        products=product.select(PK, CUC),
+        products_described=described.drop("DesUnidadNegocio"),
+        products_cosmetic=described.filter(F.col("DesUnidadNegocio") == codes.COSMETICS_UNIT).drop("DesUnidadNegocio"),
+        products_in_scope=in_scope,
+        scope_cucs=scope_cucs,
+        offer_types=offer_type.select(PKTO, CODTO),
+        offer_types_catalogue=catalogue,
+        offer_types_base=catalogue.filter(F.col(CODTO).isin(*codes.OFFER_CODES_ALL)),
     )

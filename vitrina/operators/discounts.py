@@ -42,9 +42,3 @@ def channel_columns() -> dict[str, Column]:
     cat = F.when(F.col("_has_cat") == 1, F.col("_cat")).otherwise(F.lit(0.0))
     return {"MaxDescuentoRevista": rev, "MaxDescuentoCatalogo": cat, "FactorDemoCatalogo": cat * rev,
             "FlagMaxDescuentoRevista": flag(rev > cat)}
-
-
-def channel_discounts(offers: DataFrame) -> DataFrame:
-    """OP-19 as a stand-alone aggregate: one row per (campaign, CUC) of the offers."""
-    agg = offers.groupBy(CAMP, CUC).agg(*[c.alias(n) for n, c in _parts().items()])
-    return agg.select(CAMP, CUC, *[c.alias(n) for n, c in channel_columns().items()])

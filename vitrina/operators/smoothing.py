@@ -19,9 +19,6 @@ from .dims import CODTO
 
 
 
-AVG_DECIMALS = 9
-
-
 def by_key() -> Window:
     """Window over one (campaign, CUC) group, no ordering, whole group as frame."""
     return Window.partitionBy(CAMP, CUC)
@@ -35,11 +32,11 @@ def set_price_smoothing(offers: DataFrame, supported_keys: DataFrame) -> DataFra
     price = F.col("PrecioOferta")
     low = F.min(price).over(by_key())
     low_set = F.min(F.when(F.col(CODTO).isin(*codes.OFFER_CODES_SET) & (price > 0), price)).over(by_key())
-    # The rows of a window arrive in shuffle order, so a float average can
-    # differ in its last bit between runs; rounded to 9 decimals it does not,
-    # and a smoothed price equal to another price compares equal to it later
-    # (channel-discount flag).  Deviation from the float average: < 5e-10.
-    mean = F.round(F.avg(price).over(by_key()), AVG_DECIMALS)
+    # The rows of a window arrive in shuffle order, so a plain float average could
+    # differ in its last bit between runs, and a later equality with it.  Summed
+    # in ascending order it is the same average on every run; a group is bounded.
+    prices = F.sort_array(F.collect_list(price).over(by_key()))
+    mean = F.aggregate(prices, F.lit(0.0), lambda total, x: total + x) / F.nullif(F.size(prices), F.lit(0))
     supported = F.coalesce(F.col("_supported"), F.lit(False))
     hit = keyed() & (price == low) & ((low == low_set) | (supported & low.isNotNull()))
     return (offers.join(marks, [CAMP, CUC], "left")

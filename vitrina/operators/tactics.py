@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import codes
@@ -48,16 +48,21 @@ def _maxima() -> list[Column]:
 
 
 def closed_tactic_groups(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFrame:
-    """Closed-window plan rows with a real sale code, grouped by tactic keys."""
+    """Closed-window plan rows with a real sale code, grouped by tactic keys.
+
+    ``_positive`` is the lowest positive price of the group: offer prices are rolled up from it, so the closed
+    plan is scanned once.
+    """
     rows = _plan_rows(t, p, d, (p.closed_from, p.closed_to), scoped).filter(
         F.col("CodVenta") != codes.DUMMY_SALE_CODE)
-    return rows.groupBy(*TACTIC_KEYS).agg(*_maxima())
+    price = F.col("PrecioOferta")
+    return rows.groupBy(*TACTIC_KEYS).agg(*_maxima(), F.min(F.when(price > 0, price)).alias("_positive"))
 
 
-def tactics_closed(groups: DataFrame, p: Params) -> DataFrame:
-    """OP-7, closed branch: tactics with a placement; price still 0."""
+def tactics_closed(groups: DataFrame, p: Params, price: Column | None = None) -> DataFrame:
+    """OP-7, closed branch: tactics with a placement, at the given price (0 before prices are known)."""
     return (groups.filter(F.col("DesUbicacionCatalogo").isNotNull())
-            .withColumns({"Exposicion": _tactic_exposure(p), "PrecioOferta": F.lit(0.0)})
+            .withColumns({"Exposicion": _tactic_exposure(p), "PrecioOferta": F.lit(0.0) if price is None else price})
             .select(*TACTIC_COLUMNS))
 
 
@@ -75,27 +80,21 @@ def tactics_union(closed: DataFrame, open_: DataFrame) -> DataFrame:
     return closed.unionByName(open_).distinct()
 
 
-def _closed_price_rows(t: Tables, p: Params, d: Dims, scoped: bool) -> DataFrame:
-    return _plan_rows(t, p, d, (p.closed_from, p.closed_to), scoped).filter(
-        (F.col("CodVenta") != codes.DUMMY_SALE_CODE) & (F.col("PrecioOferta") > 0))
-
+def closed_offer_price(groups: DataFrame) -> DataFrame:
+    """OP-8: lowest positive price per (campaign, CUC, offer key, offer code), from the closed groups."""
+    return (groups.groupBy(CAMP, CUC, PKTO, CODTO).agg(F.min("_positive").alias("PrecioOferta"))
+            .filter(F.col("PrecioOferta").isNotNull()))
 
-def closed_offer_price(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFrame:
-    """OP-8: lowest positive price per (campaign, CUC, offer key, offer code)."""
-    return (_closed_price_rows(t, p, d, scoped).groupBy(CAMP, CUC, PKTO, CODTO)
-            .agg(F.min("PrecioOferta").alias("PrecioOferta")))
 
+def with_code_price(groups: DataFrame) -> DataFrame:
+    """The closed groups with the offer price as it is applied: the lowest of (campaign, CUC, offer code).
 
-def price_by_code(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFrame:
-    """Offer price keyed as it is applied: by (campaign, CUC, offer code).
-
-    Two offer keys with one code would make the source update pick an
-    arbitrary price; the lowest is taken, so the result is deterministic.
-    A partial aggregate reduces the plan rows to one row per code before the
-    exchange, so a hot code costs one row per task.
+    Two offer keys with one code would make the source update pick an arbitrary price; the lowest is taken, so the
+    result is deterministic.  The window runs on the groups, not on plan rows: one row per layout of one offer code
+    of one product in one campaign.
     """
-    return (_closed_price_rows(t, p, d, scoped).groupBy(CAMP, CUC, CODTO)
-            .agg(F.min("PrecioOferta").alias("_price")))
+    w = Window.partitionBy(CAMP, CUC, CODTO)
+    return groups.withColumn("_price", F.min("_positive").over(w))
 
 
 def _clean(priced: DataFrame) -> DataFrame:
@@ -104,25 +103,18 @@ def _clean(priced: DataFrame) -> DataFrame:
     return priced.filter(not_zero(F.col("PrecioOferta")) & ~bad_page)
 
 
-def price_and_clean_tactics(tactics: DataFrame, prices: DataFrame) -> DataFrame:
-    """OP-9: set the closed price, drop zero-price tactics (null price stays)
-    and magazine tactics on page null, 0 or >= 100."""
-    priced = (tactics.join(prices, [CAMP, CUC, CODTO], "left")
-              .withColumn("PrecioOferta", F.coalesce(F.col("_price"), F.col("PrecioOferta")))
-              .select(*TACTIC_COLUMNS))
-    return _clean(priced)
-
-
 def clean_tactics(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFrame:
-    """OP-7 + OP-8 + OP-9: the cleaned tactic rows (#TMP_DMATRIZCAMPANA after its deletes).
+    """OP-7 + OP-8 + OP-9: the cleaned tactic rows, priced.
 
-    The price per code is aggregated from the plan rows themselves and joined
-    after the distinct union, as the source does; a join (not a window)
-    keeps a hot (campaign, CUC, code) splittable by AQE's skew handling.
+    The price depends on the key columns only, so it commutes with the distinct union and is set before it, where
+    a code without a positive price keeps 0.  Closed and open windows are disjoint (checked by ``Params``), so each
+    branch is made distinct by itself.  Zero-price tactics go (a null price stays), magazine tactics on page null, 0 or
+    >= 100 too.
     """
-    tactics = tactics_union(tactics_closed(closed_tactic_groups(t, p, d, scoped), p),
-                            tactics_open(t, p, d, scoped))
-    return price_and_clean_tactics(tactics, price_by_code(t, p, d, scoped))
+    key = F.col(CUC).isNotNull()  # a null CUC matches no price
+    price = F.when(key, F.coalesce(F.col("_price"), F.lit(0.0))).otherwise(F.lit(0.0))
+    closed = tactics_closed(with_code_price(closed_tactic_groups(t, p, d, scoped)), p, price).distinct()
+    return _clean(closed.unionByName(tactics_open(t, p, d, scoped).distinct()))
 
 
 def tactic_totals(tactics: DataFrame, mask: Column | None = None) -> DataFrame:

@@ -22,8 +22,6 @@ class Params:
     development_to: str = "201710"
     # Raise instead of returning null for unparsable exposure texts and zero order counts.
     strict: bool = False
-    # A dimension is broadcast only when a bounded count proves it has at most this many rows.
-    broadcast_max_rows: int = 2_000_000
 
     def __post_init__(self):
         for name in ("closed_from", "closed_to", "open_from", "open_to", "development_to"):
@@ -32,6 +30,8 @@ class Params:
                 raise ValueError(f"{name} must be a YYYYCC campaign code, got {value!r}")
         if self.closed_from > self.closed_to or self.open_from > self.open_to:
             raise ValueError("campaign window with start after end")
+        if self.closed_from <= self.open_to and self.open_from <= self.closed_to:
+            raise ValueError("closed and open campaign windows overlap")
 
     @property
     def span(self) -> tuple[str, str]:

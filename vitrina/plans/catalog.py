@@ -2,7 +2,7 @@
 
 Every query reads ``part``, ``lineitem`` and ``orders`` of an ``sf_dir`` through
 the fixture mapping, so its work grows with the data.  Outputs are "tidied"
-for comparison only: integers as bigint, doubles rounded to 6 digits (the
+for comparison only: integers as bigint, doubles to 10 significant digits (the
 summation order of the two engines differs).
 """
 
@@ -17,13 +17,16 @@ from pyspark.sql import types as T
 
 from .. import codes
 from ..operators import base as base_ops
-from ..operators import discounts, estimates, flags, smoothing, support, tactics
+from ..codes import OUTPUT_COLUMNS
+from ..operators import discounts, estimates, smoothing, support, tactics
 from ..operators.base import OFFER_KEYS
 from ..operators.dims import prepare_dims
 from ..params import Params
+from ..sources.country import country_code
 from ..sources.fixtures import fixture_tables
 from . import oracle
-from .feature_job import OUTPUT_COLUMNS, build, finish
+from .feature_job import build, finish
+from .settings import job_session
 
 DOUBLE_COLUMNS = {
     "PrecioNormalMN", "PrecioOferta", "Exposicion", "ExposicionOriginal", "Descuento", "PrecioOfertaDol",
@@ -48,32 +51,29 @@ def _kind(name: str, text_cols=frozenset()) -> str:
     return "d" if name in DOUBLE_COLUMNS else "i"
 
 
-def _round_half_up(x, digits: int):
-    scale = float(10 ** digits)
-    return F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+def significant(x):
+    """``x`` to ``oracle.DIGITS`` significant digits, in doubles throughout (no integer in between).
 
-
-def _round_for_compare(x):
-    """Round to 9 and then to 6 decimals with one explicit binary formula,
-    ``floor(x * 10^n + 0.5) / 10^n``, written identically in the oracle SQL.
-
-    Built-in ``round`` differs between engines at decimal ties (Spark rounds
-    the shortest decimal string, DuckDB the binary value); IEEE multiply,
-    add, floor and divide do not.  The 9-decimal step absorbs last-bit
-    summation-order noise, so a value at an exact half stays at it.
+    The two engines add up in different orders, which changes the last digits of a sum.  The scale comes from
+    the same comparisons and literals as in the oracle SQL, so equal doubles give equal results there and here.
     """
-    return _round_half_up(_round_half_up(x, 9), 6) + F.lit(0.0)
+    out = None
+    for k in range(-6, oracle.DIGITS + 1):
+        scale = F.lit(float(f"1e{oracle.DIGITS - k}"))
+        small = F.abs(x) < F.lit(float(f"1e{k}"))
+        value = F.rint(x * scale) / scale
+        out = F.when(small, value) if out is None else out.when(small, value)
+    return out.otherwise(x) + F.lit(0.0)
 
 
 def tidy(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns in the catalogue order; integers as bigint, doubles rounded to 9 then 6 digits
-    (``_round_for_compare``)."""
+    """Columns in the catalogue order; integers as bigint, doubles to significant digits."""
     out = []
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     for name in columns:
         dt = types[name]
         if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
-            out.append(_round_for_compare(F.col(name).cast("double")).alias(name))
+            out.append(significant(F.col(name).cast("double")).alias(name))
         elif isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
             out.append(F.col(name).cast("bigint").alias(name))
         else:
@@ -100,19 +100,22 @@ class Query:
         return oracle.query_sql(self.relation, cols, self.params, self.country, list(self.extra_ctes))
 
 
+_SESSIONS: dict[str, SparkSession] = {}
+
+
 def _ctx(spark: SparkSession, sf_dir: str, country: str = "S2", p: Params | None = None):
+    """The stored tables, in one session with the job's options for all queries of an application."""
     p = p or Params()
-    t = fixture_tables(spark, sf_dir, country)
+    app = spark.sparkContext.applicationId
+    if app not in _SESSIONS:
+        _SESSIONS[app] = job_session(spark)
+    t = fixture_tables(_SESSIONS[app], sf_dir, country)
     return t, p, prepare_dims(t, p)
 
 
-def _country_of(code: str) -> str:
-    return dict(codes.COUNTRY_RECODE).get(code, code)
-
-
 def _stages(spark, sf_dir, country="S2", p=None):
     t, p, d = _ctx(spark, sf_dir, country, p)
-    return build(t, p, _country_of(country), d)
+    return build(t, p, country_code(t.country), d)
 
 
 def _q_closed(spark, sf_dir):
@@ -129,7 +132,7 @@ def _q_union(spark, sf_dir):
 
 def _q_est(spark, sf_dir):
     t, p, d = _ctx(spark, sf_dir)
-    return estimates.estimate_summary(t, p, d, _country_of("S2"))
+    return estimates.estimate_summary(t, p, d, country_code(t.country))
 
 
 def _q_dollar(spark, sf_dir):
@@ -139,12 +142,12 @@ def _q_dollar(spark, sf_dir):
 def _q_without_zero(spark, sf_dir):
     t, p, d = _ctx(spark, sf_dir)
     return base_ops.base_without_zero_estimates(base_ops.base_union(t, p, d),
-                                                estimates.estimate_summary(t, p, d, "SV"))
+                                                estimates.estimate_summary(t, p, d, country_code(t.country)))
 
 
 def _q_normal(spark, sf_dir):
     t, p, d = _ctx(spark, sf_dir)
-    return base_ops.apply_estimates(base_ops.base_union(t, p, d), estimates.estimate_summary(t, p, d, "SV"))
+    return base_ops.apply_estimates(base_ops.base_union(t, p, d), estimates.estimate_summary(t, p, d, country_code(t.country)))
 
 
 def _q_exposure(spark, sf_dir):
@@ -168,7 +171,7 @@ def _q_tac_union(spark, sf_dir):
 
 
 def _q_price(spark, sf_dir):
-    return tactics.closed_offer_price(*_ctx(spark, sf_dir))
+    return tactics.closed_offer_price(tactics.closed_tactic_groups(*_ctx(spark, sf_dir)))
 
 
 def _q_clean(spark, sf_dir):
@@ -181,7 +184,7 @@ def _q_totals(spark, sf_dir):
 
 def _q_offer_grain(spark, sf_dir):
     t, p, d = _ctx(spark, sf_dir)
-    return base_ops.offer_grain_base(t, p, d, estimates.estimate_summary(t, p, d, "SV"))
+    return base_ops.offer_grain_base(t, p, d, estimates.estimate_summary(t, p, d, country_code(t.country)))
 
 
 def _q_offers(country):
@@ -210,19 +213,9 @@ def _q_features(spark, sf_dir):
     return _stages(spark, sf_dir).features
 
 
-def _q_flags(names):
-    def run(spark, sf_dir):
-        st = _stages(spark, sf_dir)
-        preds = {n: c for n, c in flags.all_predicates().items() if n in names}
-        keys = st.features.select("AnioCampana", "CodCUC").distinct()
-        return flags.attach_flags(keys, flags.tactic_flags(st.tactics, preds))
-    return run
-
-
-def _q_channels(spark, sf_dir):
-    st = _stages(spark, sf_dir)
-    keys = st.features.select("AnioCampana", "CodCUC").distinct()
-    return keys.join(discounts.channel_discounts(st.corrected), ["AnioCampana", "CodCUC"], "left")
+def _q_core(columns):
+    """Columns of the job's own rows, one row for each (campaign, CUC)."""
+    return lambda spark, sf_dir: _stages(spark, sf_dir).core.select(*KEYS, *columns).distinct()
 
 
 def _q_quality(spark, sf_dir):
@@ -256,44 +249,44 @@ def _category_slug(category: str) -> str:
 
 def catalogue() -> dict[str, Query]:
     q = [
-        Query("closed_sales_base", _q_closed, BASE_COLUMNS, "closed_base"),
-        Query("open_plan_base", _q_open, BASE_COLUMNS, "open_base"),
-        Query("base_union", _q_union, BASE_COLUMNS, "base_all"),
+        Query("closed_sales_base", _q_closed, BASE_COLUMNS, "sale"),
+        Query("open_plan_base", _q_open, BASE_COLUMNS, "planned"),
+        Query("base_union", _q_union, BASE_COLUMNS, "on_offer"),
         Query("estimate_summary", _q_est, ["AnioCampana", "CodCUC", "NroEstimados", "PrecioOfertaDol",
-                                           "PrecioNormalMN"], "est"),
+                                           "PrecioNormalMN"], "guess"),
         Query("dollar_offer_price", _q_dollar, ["AnioCampana", "CodCUC", "PKTipoOferta", "PrecioOfertaDol"],
-              "dollar"),
-        Query("base_without_zero_estimates", _q_without_zero, BASE_COLUMNS, "base_kept"),
-        Query("base_with_normal_price", _q_normal, BASE_COLUMNS + ["PrecioNormalMN"], "base_priced"),
+              "guess_by_offer"),
+        Query("base_without_zero_estimates", _q_without_zero, BASE_COLUMNS, "expected"),
+        Query("base_with_normal_price", _q_normal, BASE_COLUMNS + ["PrecioNormalMN"], "valued"),
         Query("exposure_parse", _q_exposure, ["AnioCampana", "PKProducto", "PKTipoOferta", "DesExposicion",
-                                              "NroPaginas", "Exposicion", "BadText"], "exposure_rows",
-              extra_ctes=(oracle.exposure_parse_sql(),)),
-        Query("tactics_closed", _q_tac_closed, tactics.TACTIC_COLUMNS, "tac_closed", text_columns=TACTIC_TEXT),
-        Query("tactics_open", _q_tac_open, tactics.TACTIC_COLUMNS, "tac_open", text_columns=TACTIC_TEXT),
-        Query("tactics_union", _q_tac_union, tactics.TACTIC_COLUMNS, "tac_union", text_columns=TACTIC_TEXT),
-        Query("closed_offer_price", _q_price, PLAN_PRICE_COLUMNS, "price_closed"),
-        Query("tactics_clean", _q_clean, tactics.TACTIC_COLUMNS, "tac_clean", text_columns=TACTIC_TEXT),
+                                              "NroPaginas", "Exposicion", "BadText"], "exposure",
+              extra_ctes=(*oracle.exposure_ctes(),)),
+        Query("tactics_closed", _q_tac_closed, tactics.TACTIC_COLUMNS, "ad_closed", text_columns=TACTIC_TEXT),
+        Query("tactics_open", _q_tac_open, tactics.TACTIC_COLUMNS, "ad_open", text_columns=TACTIC_TEXT),
+        Query("tactics_union", _q_tac_union, tactics.TACTIC_COLUMNS, "ad_all", text_columns=TACTIC_TEXT),
+        Query("closed_offer_price", _q_price, PLAN_PRICE_COLUMNS, "offer_price"),
+        Query("tactics_clean", _q_clean, tactics.TACTIC_COLUMNS, "ad_clean", text_columns=TACTIC_TEXT),
         Query("tactic_totals", _q_totals, ["AnioCampana", "CodCUC", "PKTipoOferta", "PrecioOferta", "Exposicion",
-                                           "NroPaginas"], "tac_totals"),
+                                           "NroPaginas"], "total"),
         Query("offer_grain_base", _q_offer_grain, [*OFFER_KEYS, "RealUUVendidas", "RealUUFaltantes",
-                                                   "PrecioNormalMN"], "base1"),
-        Query("laid_out_offers", _q_offers("S2"), OFFER_COLUMNS, "offers1"),
-        Query("laid_out_offers_bo", _q_offers("BO"), OFFER_COLUMNS, "offers1", country="BO"),
+                                                   "PrecioNormalMN"], "grain"),
+        Query("laid_out_offers", _q_offers("S2"), OFFER_COLUMNS, "offer"),
+        Query("laid_out_offers_bo", _q_offers("BO"), OFFER_COLUMNS, "offer", country="BO"),
         Query("supported_products", _q_supported, ["AnioCampana", "CodCUC", "CodTipoOferta", "NroApoyados"],
-              "supp"),
+              "helped"),
         Query("set_price_smoothing", _q_smoothing, OFFER_COLUMNS, "smoothed"),
-        Query("zero_exposure_fill", _q_exposure_fill, OFFER_COLUMNS, "exp_filled"),
-        Query("zero_price_fill_bo", _q_price_fill("BO"), OFFER_COLUMNS, "offers_final", country="BO"),
-        Query("campaign_product_features", _q_features, FEATURE_COLUMNS, "feat"),
-        Query("placement_flags", _q_flags(PLACEMENT_FLAG_NAMES), KEYS + PLACEMENT_FLAG_NAMES, "flags"),
-        Query("offer_type_flags", _q_flags(OFFER_FLAG_NAMES), KEYS + OFFER_FLAG_NAMES, "flags"),
-        Query("tactic_class_flags", _q_flags(CLASS_FLAG_NAMES), KEYS + CLASS_FLAG_NAMES, "flags"),
-        Query("channel_discounts", _q_channels, KEYS + discounts.CHANNEL_COLUMNS, "channels"),
-        Query("campaign_sequence", _q_result_columns(["AnioCampana", "NCampaign"]), ["AnioCampana", "NCampaign"], "camp_seq"),
-        Query("sku_sequence", _q_result_columns(["AnioCampana", "CodCUC", "N_Records_SKU"]), ["AnioCampana", "CodCUC", "N_Records_SKU"], "sku_seq"),
+        Query("zero_exposure_fill", _q_exposure_fill, OFFER_COLUMNS, "exposed"),
+        Query("zero_price_fill_bo", _q_price_fill("BO"), OFFER_COLUMNS, "repriced", country="BO"),
+        Query("campaign_product_features", _q_features, FEATURE_COLUMNS, "feature_wide"),
+        Query("placement_flags", _q_core(PLACEMENT_FLAG_NAMES), KEYS + PLACEMENT_FLAG_NAMES, "flagged"),
+        Query("offer_type_flags", _q_core(OFFER_FLAG_NAMES), KEYS + OFFER_FLAG_NAMES, "flagged"),
+        Query("tactic_class_flags", _q_core(CLASS_FLAG_NAMES), KEYS + CLASS_FLAG_NAMES, "flagged"),
+        Query("channel_discounts", _q_core(discounts.CHANNEL_COLUMNS), KEYS + discounts.CHANNEL_COLUMNS, "channel"),
+        Query("campaign_sequence", _q_result_columns(["AnioCampana", "NCampaign"]), ["AnioCampana", "NCampaign"], "campaign_no"),
+        Query("sku_sequence", _q_result_columns(["AnioCampana", "CodCUC", "N_Records_SKU"]), ["AnioCampana", "CodCUC", "N_Records_SKU"], "product_no"),
         Query("feature_table", _q_features_full("S2"), OUTPUT_COLUMNS, "result"),
         Query("quality_metrics", _q_quality, ["metric", "value"], "quality", text_columns=frozenset({"metric"}),
-              extra_ctes=(oracle.quality_sql(Params()),)),
+              extra_ctes=(*oracle.quality_ctes(Params()),)),
         Query("feature_table_bo", _q_features_full("BO"), OUTPUT_COLUMNS, "result", country="BO"),
     ]
     for category in codes.CATEGORIES[1:]:

@@ -24,27 +24,11 @@ from ..functions.columns import CAMP, CUC
 from ..operators import base as base_ops
 from ..operators import discounts, estimates, features, flags, offers, sequences, smoothing, support, tactics
 from ..operators.dims import Dims, prepare_dims
-from ..operators.joins import small_side
 from ..params import Params
+from ..codes import OUTPUT_COLUMNS
+from ..session import stored
 from ..sources.country import country_code
 from ..sources.tables import Tables
-from .settings import apply_job_options
-
-# Output columns (78) in their order.
-OUTPUT_COLUMNS = [
-    "CodPais", "AnioCampana", "DesMarca", "CodCUC", "CodCategoria", "DesCategoria", "N_Records_SKU",
-    "NCampaign", "Development", "RealNroPedidos", "PrecioOfertaProm", "PrecioOfertaMin",
-    "PrecioOfertaMinAlCuadrado", "PrecioOfertaMinInverso", "PrecioOfertaMax", "PrecioOfertaMaxAlCuadrado",
-    "PrecioOfertaMaxInverso", "PrecioNormalMN", "NroTipoOfertas", "NroTipoOfertasCatalogo",
-    "NroTipoOfertasRevista", "RealUUDemandadas", "PUP", "ExposicionMin", "ExposicionMinRaizCuadrada",
-    "ExposicionMax", "ExposicionMaxRaizCuadrada", "ExposicionTotal", "MaxDescuento", "MaxDescuentoCuadrado",
-    "FlagDescuentoMayor60", "FlagDescuentoMayor70", "MaxDescuentoRevista", "MaxDescuentoCatalogo",
-    "FactorDemoCatalogo", "FlagMaxDescuentoRevista",
-    *[n for n, _ in codes.PLACEMENT_FLAGS], *[n for n, _ in codes.SIDE_FLAGS],
-    "NroPaginas", "FotoProducto", "FotoModelo", "FlagDiscover", "FlagTacticaMacro", "FlagTacticaDetallada",
-    *[n for n, _ in codes.SEASON_FLAGS], "FlagRegalo", *[n for n, _ in codes.OFFER_TYPE_FLAGS],
-]
-
 
 @dataclass(frozen=True)
 class Stages:
@@ -71,8 +55,8 @@ def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None =
     out of one aggregate at (campaign, CUC, offer key); the flags, packed into
     one bitmask, are OR-ed over their (campaign, CUC) there and ride along
     the offers, so the tactics have a single consumer and are computed once.
+    Run it in ``settings.job_session``, whose options it is made for.
     """
-    apply_job_options(t.sales.sparkSession)
     country = country if country is not None else country_code(t.country)
     d = dims if dims is not None else prepare_dims(t, p)
     est = estimates.estimate_summary(t, p, d, country)
@@ -90,7 +74,7 @@ def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None =
     keys = support.supported_keys(support.supported_products(t, p, d, scoped=True))
     corrected = smoothing.corrected_offers(laid_out, keys)
 
-    orders = small_side(t.orders.filter(t.orders[CAMP].between(p.all_from, p.all_to)), p.broadcast_max_rows)
+    orders = t.orders.filter(t.orders[CAMP].between(p.all_from, p.all_to))
     feats = features.campaign_product_features(discounts.with_channel_parts(corrected), orders, p, country,
                                                carry=names)
     feats = feats.withColumns(flags.unpack_mask(list(predicates))).drop(flags.MASK)
@@ -100,20 +84,17 @@ def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None =
                   features=feats.drop(*predicates), core=feats)
 
 
-def finish(st: Stages, checkpoint: bool = True) -> DataFrame:
+def finish(st: Stages) -> DataFrame:
     """Sequence numbers and final column order.
 
-    The sequence numbers need the finished rows twice (campaign list, CUC
-    keys).  With ``checkpoint`` the rows are first written to the shared
-    checkpoint folder: the heavy plan runs once, its lineage is cut (a lost
-    executor does not recompute the fact scans), and the second job is small.
+    The numbers need the finished rows twice (campaign list, ranks), so the rows are stored once as parquet in the shared folder:
+    the heavy plan runs once, a lost executor does not recompute the fact scans, and the campaign
+    list reads one column.
     """
-    core = st.core.checkpoint(eager=True) if checkpoint else st.core
-    result = sequences.attach_sequences(core, st.params.max_campaigns())
-    return result.select(*OUTPUT_COLUMNS)
+    core = stored(st.core, "features")
+    return sequences.attach_sequences(core, st.params.max_campaigns()).select(*OUTPUT_COLUMNS)
 
 
-def feature_table(t: Tables, p: Params | None = None, country: str | None = None,
-                  checkpoint: bool = True) -> DataFrame:
+def feature_table(t: Tables, p: Params | None = None, country: str | None = None) -> DataFrame:
     """The 78-column feature table of one category."""
-    return finish(build(t, p or Params(), country), checkpoint)
+    return finish(build(t, p or Params(), country))

@@ -24,6 +24,10 @@ JOB_OPTIONS = {
 }
 
 
-def apply_job_options(spark: SparkSession) -> None:
-    for key, value in JOB_OPTIONS.items():
-        spark.conf.set(key, value)
+def job_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the caller's settings and, on top, the job's; the caller's stays as it is."""
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **JOB_OPTIONS}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -25,12 +26,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only where the session names none (local tests) a scratch folder is set.
+    Only a local session that names none (tests) gets a scratch folder; on a
+    cluster the executors would not share it, so there the setting is required.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or tempfile.mkdtemp(prefix="vitrina-ckpt-")
-    spark.sparkContext.setCheckpointDir(target)
-    return spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not context.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="vitrina-ckpt-"))
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as parquet below the shared checkpoint folder, and read back: lineage cut, true sizes."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

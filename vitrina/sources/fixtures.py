@@ -8,14 +8,14 @@ and ``orders``; the DuckDB oracle inlines the same expressions as CTEs.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import codes
-from .tables import Tables
+from ..session import ensure_checkpoint_dir
+from .tables import Tables, read_tables, store_tables
 
 # --- fixed values: mapping expressions of FIXTURES.md ---------------------
 
@@ -50,22 +50,23 @@ SALES_COLUMNS = {
     "RealUUFaltantes": "cast(round(l_tax*100) as bigint)",
 }
 
-PLAN_FILTER = "l_linenumber<>6"
 PLAN_COLUMNS = {
     "AnioCampana": "camp",
     "PKProducto": "l_partkey",
     "PKTipoOferta": "pkto",
     "CodVenta": "case when l_orderkey%29=0 then '00000' else lpad(cast(l_orderkey%99999+1 as varchar(5)),5,'0') end",
-    "DesTipoCatalogo": ("case (l_orderkey+l_linenumber)%9 when 0 then 'FOLLETO' when 1 then 'CATALOGO CYZONE' "
+    "DesTipoCatalogo": ("case when l_linenumber=6 then 'FOLLETO' else case (l_orderkey+l_linenumber)%9 when 0 then 'FOLLETO' when 1 then 'CATALOGO CYZONE' "
                         "when 2 then 'CATALOGO EBEL/LBEL' when 3 then 'CATALOGO ESIKA' when 4 then 'CATALOGO ESIKA' "
-                        "when 5 then 'CATALOGO CYZONE' else 'REVISTA BELCORP' end"),
+                        "when 5 then 'CATALOGO CYZONE' else 'REVISTA BELCORP' end end"),
     "DesUbicacionCatalogo": ("case l_suppkey%11 when 0 then 'CARATULA' when 1 then 'CONTRA CARATULA' "
                              "when 2 then 'CARATULA Y CONTRACARATULA' when 3 then 'POSTER' when 4 then 'INSERTO' "
                              "when 5 then 'PRIMERA PAGINA (2 Y 3)' when 6 then cast(null as varchar(30)) "
                              "when 7 then '' else 'OTROS / CUALQUIER PAGINA' end"),
     "DesLadoPag": ("case l_orderkey%4 when 0 then 'LADO DERECHO' when 1 then 'EN AMBOS LADOS' "
                    "when 2 then 'LADO IZQUIERDO' else cast(null as varchar(20)) end"),
-    "DesExposicion": ("case when l_orderkey%13=0 then cast(null as varchar(20)) when d100=0 then 'SIN EXPOSICION' "
+    "DesExposicion": ("case when l_orderkey%13=0 then cast(null as varchar(20)) when l_orderkey%97=1 then 'NAN%' "
+                      "when l_orderkey%97=2 then 'INF' when l_orderkey%97=3 then '50D' when l_orderkey%97=4 then 'EXPOSICION 50%' "
+                      "when l_orderkey%97=5 then '1E3%' when d100=0 then 'SIN EXPOSICION' "
                       "when l_linenumber%2=0 then concat(cast(d100*10 as varchar(4)),'%') "
                       "else concat('EXPOSICION ',lpad(cast(d100*10 as varchar(4)),4,' '),'%') end"),
     "NroPaginas": "case when l_orderkey%31=0 then cast(null as bigint) else 1+l_suppkey%3 end",
@@ -77,10 +78,9 @@ PLAN_COLUMNS = {
                      "else round(p_retailprice*(100-8*d100)/100,2) end"),
 }
 
-ESTIMATE_FILTER = "l_linenumber<>2"
 ESTIMATE_COLUMNS = {
     "AnioCampana": "camp",
-    "AnioCampanaRef": "case when l_linenumber=7 then '000000' else camp end",
+    "AnioCampanaRef": "case when l_linenumber in (2,7) then '000000' else camp end",
     "PKProducto": "l_partkey",
     "PKTipoOferta": "pkto",
     "EstUUVendidas": ("case when cuc%10=5 and l_orderkey%2=0 then 0 when cuc%15=0 and right(camp,1)='3' then 0 "
@@ -90,17 +90,19 @@ ESTIMATE_COLUMNS = {
     "PrecioNormalMN": "case when cuc%25=10 and right(camp,1)='5' then cast(0 as double) else p_retailprice end",
 }
 
-# Support pairs: lines with l_orderkey%6=0 fan out to n = 1..k supported products.
-SUPPORT_FILTER = "l_orderkey%6=0"
+# Support pairs: every line fans out to n = 1..k supported products; those of most orders name no known product.
 SUPPORT_FANOUT = "case when l_linenumber>=5 then 12 else l_linenumber end"
 SUPPORT_COLUMNS = {
     "AnioCampana": "camp",
     "PKProductoApoyador": "l_partkey",
     "PKTipoOfertaApoyador": "pkto",
 }
-SUPPORTED_PRODUCT = "(l_partkey+20*n) % {part_count}"
+SUPPORTED_PRODUCT = "case when l_orderkey%6=0 then (l_partkey+20*n) % {part_count} else -1 end"
 
+# Order counts: the 11th campaigns of a year have two of them, the 13th of one year has none.
 ORDERS_CAMPAIGN = CAMPAIGN_OF.format(d="o_orderdate")
+ORDER_FANOUT = f"case when right({ORDERS_CAMPAIGN},2)='11' then 2 else 1 end"
+ORDER_COUNT = f"case when {ORDERS_CAMPAIGN}='201513' then 0 else {{count}} + n - 1 end"
 
 # Offer-type dimension: keys 0-31 carry the base codes in list order, 32-39
 # codes outside the base, 40 and 41 second keys of codes 003 and 008.
@@ -119,54 +121,32 @@ def _select(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select(*[F.expr(expr).alias(name) for name, expr in mapping.items()])
 
 
-# Facts stored partitioned by campaign, as the production tables are.
-PARTITIONED = ("sales", "plan", "estimates", "support")
-_STORED: dict[tuple[str, str], dict] = {}
-_READ: dict[tuple[str, str, str], Tables] = {}
+_STORED: dict[tuple[str, str], str] = {}
+_READ: dict[tuple[SparkSession, str, str], Tables] = {}
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str, country: str = DEFAULT_COUNTRY,
                    stored: bool = True) -> Tables:
     """The eight mapped tables over ``<sf_dir>/{part,lineitem,orders}.parquet``.
 
-    With ``stored`` (default) the seven data tables are written once per
-    application into the shared checkpoint folder (facts partitioned by
-    ``AnioCampana``) and read back, so queries see what production sees:
+    With ``stored`` (default) the data tables go through the production ingest
+    once per application (``store_tables``, below the shared checkpoint folder)
+    and are read back, so queries see what production sees: normalised,
     partitioned parquet with pruning and pushdown, and a short lineage.
     Otherwise they are lazy projections of the test data.
     """
     if not stored:
-        return mapped_tables(spark, sf_dir, country)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), country)
-    if key not in _READ:
-        # One DataFrame per stored table and session: the file listing of the
-        # partitioned folders is done once and shared by all queries.
-        stored_tables = _store(spark, sf_dir)
-        read = {name: spark.read.schema(schema).parquet(path) for name, (path, schema) in stored_tables.items()}
-        _READ[key] = Tables(country=country_table(spark, country), **read).normalised()
-    return _READ[key]
-
-
-def _store(spark: SparkSession, sf_dir: str) -> dict:
-    from ..session import ensure_checkpoint_dir
-
+        return mapped_tables(spark, sf_dir, country).normalised()
     app = spark.sparkContext.applicationId
-    key = (app, os.path.abspath(sf_dir))
-    if key in _STORED:
-        return _STORED[key]
-    mapped = mapped_tables(spark, sf_dir)
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vitrina-fixtures/{app}/{uuid.uuid4().hex}"
-    out = {}
-    for name in ("product", "offer_type", "sales", "plan", "estimates", "support", "orders"):
-        df = getattr(mapped, name)
-        path = f"{root}/{name}"
-        if name in PARTITIONED:
-            df.repartition("AnioCampana").write.partitionBy("AnioCampana").parquet(path)
-        else:
-            df.coalesce(1).write.parquet(path)
-        out[name] = (path, df.schema)
-    _STORED[key] = out
-    return out
+    if (app, sf_dir) not in _STORED:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vitrina-fixtures/{app}/{uuid.uuid4().hex}"
+        store_tables(mapped_tables(spark, sf_dir, country), root)
+        _STORED[app, sf_dir] = root
+    if (spark, sf_dir, country) not in _READ:
+        # One DataFrame per stored table and session: the partitioned folders are listed once for all queries.
+        read = read_tables(spark, _STORED[app, sf_dir], normalised=True)
+        _READ[spark, sf_dir, country] = read.with_country(country_table(spark, country))
+    return _READ[spark, sf_dir, country]
 
 
 def mapped_tables(spark: SparkSession, sf_dir: str, country: str = DEFAULT_COUNTRY) -> Tables:
@@ -183,21 +163,21 @@ def mapped_tables(spark: SparkSession, sf_dir: str, country: str = DEFAULT_COUNT
     offer_type = spark.createDataFrame(
         offer_type_rows(), "PKTipoOferta int, CodTipoOferta string, CodTipoProfit string")
     sales = _select(line, SALES_COLUMNS)
-    plan = _select(line.filter(PLAN_FILTER), PLAN_COLUMNS)
-    estimates = _select(line.filter(ESTIMATE_FILTER), ESTIMATE_COLUMNS)
+    plan = _select(line, PLAN_COLUMNS)
+    estimates = _select(line, ESTIMATE_COLUMNS)
 
     part_count = part.select(F.count(F.lit(1))).scalar()
-    support = (line.filter(SUPPORT_FILTER)
-               .withColumn("n", F.explode(F.sequence(F.lit(1), F.expr(SUPPORT_FANOUT))))
+    support = (line.withColumn("parts", part_count).withColumn("n", F.explode(F.sequence(F.lit(1), F.expr(SUPPORT_FANOUT))))
                .select(*[F.expr(e).alias(c) for c, e in SUPPORT_COLUMNS.items()],
-                       ((F.col("l_partkey") + 20 * F.col("n")) % part_count).alias("PKProductoApoyado")))
-    support = support.select("AnioCampana", "PKProductoApoyador", "PKProductoApoyado", "PKTipoOfertaApoyador")
+                       F.expr(SUPPORTED_PRODUCT.format(part_count="parts")).alias("PKProductoApoyado")))
 
-    order_counts = (orders.groupBy(F.expr(ORDERS_CAMPAIGN).alias("AnioCampana"))
-                    .agg(F.count(F.lit(1)).alias("RealNroPedidos")))
+    order_counts = (orders.withColumn("n", F.explode(F.sequence(F.lit(1), F.expr(ORDER_FANOUT))))
+                    .groupBy(F.expr(ORDERS_CAMPAIGN).alias("AnioCampana"), "n").agg(F.count(F.lit(1)).alias("c"))
+                    .select("AnioCampana", F.expr(ORDER_COUNT.replace(ORDERS_CAMPAIGN, "AnioCampana").format(count="c"))
+                            .alias("RealNroPedidos")))
     country_df = country_table(spark, country)
     return Tables(country=country_df, product=product, offer_type=offer_type, sales=sales, plan=plan,
-                  estimates=estimates, support=support, orders=order_counts).normalised()
+                  estimates=estimates, support=support, orders=order_counts)
 
 
 def country_table(spark: SparkSession, *codes_: str) -> DataFrame:
