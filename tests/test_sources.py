@@ -49,3 +49,16 @@ def test_read_tables_round_trip(spark):
     a = tidy(feature_table(t, Params(), "SV"), OUTPUT_COLUMNS).collect()
     b = tidy(feature_table(back, Params()), OUTPUT_COLUMNS).collect()
     assert len(a) > 0 and sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_catalog_tables_are_normalised(spark):
+    from vitrina.sources.tables import COLUMNS, catalog_tables
+    t = fixture_tables(spark, SMALL_SF)
+    for name, src in SOURCE_NAMES.items():
+        df = getattr(t, name)
+        if name == "orders":
+            df = df.selectExpr("cast(AnioCampana as int) AnioCampana", "cast(RealNroPedidos as decimal(9,0)) RealNroPedidos")
+        df.createOrReplaceTempView(src)
+    back = catalog_tables(spark)
+    assert all(dict(getattr(back, n).dtypes) == {c: k for c, k in COLUMNS[n].items()} for n in COLUMNS)
+    assert sorted(map(tuple, back.orders.collect())) == sorted(map(tuple, t.orders.collect()))

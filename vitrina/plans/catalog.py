@@ -107,8 +107,7 @@ def _ctx(spark: SparkSession, sf_dir: str, country: str = "S2", p: Params | None
     """The stored tables, in one session with the job's options for all queries of an application."""
     p = p or Params()
     app = spark.sparkContext.applicationId
-    if app not in _SESSIONS:
-        _SESSIONS[app] = job_session(spark)
+    _SESSIONS[app] = job_session(spark, _SESSIONS.get(app))
     t = fixture_tables(_SESSIONS[app], sf_dir, country)
     return t, p, prepare_dims(t, p)
 

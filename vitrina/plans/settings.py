@@ -24,9 +24,12 @@ JOB_OPTIONS = {
 }
 
 
-def job_session(spark: SparkSession) -> SparkSession:
-    """A session of the same application with the caller's settings and, on top, the job's; the caller's stays as it is."""
-    own = spark.newSession()
+def job_session(spark: SparkSession, own: SparkSession | None = None) -> SparkSession:
+    """A session of the same application with the caller's settings and, on top, the job's; the caller's stays as it is.
+
+    Given a session made before, it is brought up to date instead.
+    """
+    own = own or spark.newSession()
     for key, value in {**spark.conf.getAll, **JOB_OPTIONS}.items():
         if own.conf.isModifiable(key):
             own.conf.set(key, value)
