@@ -140,14 +140,13 @@ def thresholds(good: DataFrame, risk: float = RISK, delta: float = DELTA) -> Dat
     """
     share = risk / len(RULES)
     cuts = [(rule, cut) for rule, (_, _, cutoffs) in RULES.items() for cut in cutoffs]
-    counted = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[
-        F.count_if(_exceeds(rule, cut)).alias(f"k{i}") for i, (rule, cut) in enumerate(cuts)])
+    counted = shared_table(good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[
+        F.count_if(_exceeds(rule, cut)).alias(f"k{i}") for i, (rule, cut) in enumerate(cuts)]), "rule-counts")
     trials = counted.select("stratum", "n", F.explode(F.array(*[
         F.struct(F.lit(rule).alias("rule"), F.lit(cut).alias("cutoff"), F.col(f"k{i}").alias("k")) for i, (rule, cut) in enumerate(cuts)])).alias("t"))
-    strata = counted.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("strata"))
+    tests = max(1, counted.count()) * len(cuts)
     k, n = F.col("t.k"), F.col("n")
-    admitted = trials.join(strata).where(
-        (k <= n * share) & (log_binomial_tail(k, n, share) <= F.log(F.lit(delta) / (F.col("strata") * len(cuts)))))
+    admitted = trials.where((k <= n * share) & (log_binomial_tail(k, n, share) <= math.log(delta / tests)))
     return admitted.groupBy("stratum").agg(*[F.min(F.when(F.col("t.rule") == rule, F.col("t.cutoff"))).alias(rule) for rule in RULES])
 
 
