@@ -71,7 +71,7 @@ def _digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def families(classes: DataFrame, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(id, h1, h2, family, blocks, block) of every class (id, n, h1, h2, bands) that shares a bucket with another."""
     entries = classes.select("id", F.explode("bands").alias("bucket"))
-    buckets = shared_table(entries.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count(F.lit(1)).alias("c"))
+    buckets = shared_table(entries.groupBy("bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("c"))
                            .where("c > 1").select("bucket", "hub"), "buckets")
     # a document with two texts may meet itself; it is a family of one, and harmless
     stars = entries.join(buckets, "bucket").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
