@@ -120,11 +120,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
     kind = texts.schema["id"].dataType.simpleString()
     found = (map_arrow(texts, features, f"id {kind}, label int, places array<int>")
              .orderBy(order, "id", "label", F.xxhash64("places")).limit(sample_rows).toArrow())
-    places = found.column("places").combine_chunks()
+    marks, places = found.column("label").to_pylist(), found.column("places").combine_chunks()
+    del found  # the chunks are a copy
     ends = places.offsets.to_numpy()
     flat = places.values.to_numpy()
-    return train([(flat[a:b], y) for a, b, y in zip(ends[:-1], ends[1:], found.column("label").to_pylist(), strict=True)],
-                 bits, **ftrl)
+    return train([(flat[a:b], y) for a, b, y in zip(ends[:-1], ends[1:], marks, strict=True)], bits, **ftrl)
 
 
 def _scores(batches: Iterator[pa.RecordBatch], text_col: str, model: Model) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
