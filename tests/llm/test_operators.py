@@ -231,6 +231,13 @@ def test_templates_are_counted_per_host_and_deleted(spark, tmp_path):
     assert got[300] == [""] and got[301] == [""] and got[302] == ["kept"] and got[None] == ["y", "y"]
 
 
+def test_templates_in_many_variants_on_one_host(spark):
+    rows = [(i, f"http://a.example/{i}", page(f"<div><p>Offer {i % 60} of today</p></div><section><p>Story {i} of this page</p></section>"))
+            for i in range(60 * 9)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in html_main_text.extract(df).collect()} == {i: f"Story {i} of this page" for i, *_ in rows}
+
+
 def test_main_text_of_the_small_pages(spark, small):
     for r in registry.QUERIES["op4_main_text"](spark, SMALL_SF).collect():
         html = small.execute("SELECT html FROM pages WHERE page_id = ?", [r.page_id]).fetchone()[0]

@@ -1,10 +1,10 @@
 """Main text of web pages: site templates are found by counting subtree hashes per host, and deleted.
 
 A first pass hashes the subtrees of block elements on each page.  Spark counts, per host, on how many different pages
-each hash occurs; a hash on at least ``MIN_PAGES`` pages and ``SHARE`` of the host's pages is a template.  A page counts once however many
-copies of it there are.  A host has at most subtrees per page / SHARE templates, so a host's list is short.  The second
-pass deletes template subtrees, takes the article (else the main element, else the page) and drops what marks itself
-as menu, header, footer, sidebar, notice, advert, form or comments.
+each hash occurs; a hash on at least ``MIN_PAGES`` pages is a template, however large the host.  A page counts once however many
+copies of it there are.  The templates are joined to the pages' own hashes, so a page gets those that stand on it and no list
+of a host is ever made.  The second pass deletes template subtrees, takes the article (else the main element, else the page) and
+drops what marks itself as menu, header, footer, sidebar, notice, advert, form or comments.
 
 Inside an article only containers can be templates: a paragraph or heading may well stand on many pages.
 A null page has the empty text; a null address is a host of its own.
@@ -15,14 +15,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrina.llm import html_tree
 from vitrina.llm.common import map_arrow, shared_table, table, text_blocks
 
-MIN_PAGES, SHARE = 8, 0.05
+MIN_PAGES = 8
 _CONTAINERS = frozenset("div section nav header footer aside ul ol dl table form figure details center".split())
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre address".split())
 
@@ -51,36 +50,38 @@ def template_candidates(found: list[html_tree.Element]) -> list[tuple[html_tree.
     return out
 
 
-def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """(host, templates array<bigint>): hashes of the subtrees that recur on the host's pages."""
+def page_key(host: Column, html: Column) -> Column:
+    """Equal for copies of a page on one host."""
+    return F.xxhash64(host, html)
+
+
+def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, page, templates array<bigint>): hashes of the subtrees of each page that recur on the host's pages."""
     source = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
+    source = source.withColumn("page", page_key(F.col("host"), F.col("html")))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_blocks(batches, "html"):
-            row, hash_, page = [], [], []
+            row, hash_ = [], []
             for i, text in enumerate(texts):
-                own = {value for _, value in template_candidates(html_tree.elements(html_tree.parse(text)))} | {0}
+                own = {value for _, value in template_candidates(html_tree.elements(html_tree.parse(text)))}
                 row += [i] * len(own)
                 hash_ += own
-                page += [xxhash.xxh3_64_intdigest(text) - (1 << 63)] * len(own)
-            yield pa.record_batch([rows.column("host").take(pa.array(row, pa.int64())), pa.array(hash_, pa.int64()), pa.array(page, pa.int64())],
-                                  names=["host", "hash", "page"])
+            of = pa.array(row, pa.int64())
+            yield pa.record_batch([rows.column("host").take(of), rows.column("page").take(of), pa.array(hash_, pa.int64())],
+                                  names=["host", "page", "hash"])
 
-    # hash 0 stands for the page itself and gives the host's number of different pages
-    counts = shared_table(map_arrow(source, hashes, "host string, hash bigint, page bigint").distinct()
-                          .groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).where((F.col("hash") == 0) | (F.col("pages") >= min_pages)),
-                          "subtree-counts")
-    totals = counts.where("hash = 0").select("host", F.col("pages").alias("all_pages"))
-    return (counts.where("hash <> 0").join(totals, "host").where(F.col("pages") >= share * F.col("all_pages"))
-            .groupBy("host").agg(F.collect_list("hash").alias("templates")))
+    found = shared_table(map_arrow(source, hashes, "host string, page bigint, hash bigint").distinct(), "subtrees")
+    recurring = found.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages).select("host", "hash")
+    return found.join(recurring, ["host", "hash"]).groupBy("host", "page").agg(F.collect_list("hash").alias("templates"))
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES,
-            share: float = SHARE) -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """(id, url, text): the main text of every row."""
-    marks = shared_table(templates(pages, url_col, html_col, min_pages, share), "templates")
+    marks = shared_table(templates(pages, url_col, html_col, min_pages), "templates")
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"),
-                          host_of(F.col(url_col)).alias("host")).join(marks, "host", "left").select("id", "url", "html", "templates")
+                          host_of(F.col(url_col)).alias("host"))
+    source = source.withColumn("page", page_key(F.col("host"), F.col("html"))).join(marks, ["host", "page"], "left").select("id", "url", "html", "templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_blocks(batches, "html"):
