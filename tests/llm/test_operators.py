@@ -238,6 +238,22 @@ def test_templates_in_many_variants_on_one_host(spark):
     assert {r.page_id: r.text for r in html_main_text.extract(df).collect()} == {i: f"Story {i} of this page" for i, *_ in rows}
 
 
+def test_copies_in_differing_frames_are_no_template(spark):
+    frame = lambda i, body: page(f"<nav>menu {i}</nav><div class=ad>buy {i}</div>{body}<script>f({i})</script><footer>foot {i}</footer>", f"t{i}")
+    bodies = {"a": "<div><p>The copied story.</p><div>Its second part.</div></div>",
+              "b": "<article><h1>Head</h1><section><p>The copied story.</p><ul><li>Its second part.</ul></section></article>",
+              "c": "<p>The copied story.</p><table><tr><td>Its second part.</table>"}
+    rows = [(f"{host}{i}", f"http://{host}.example/{i}", frame(i, body)) for host, body in bodies.items() for i in range(20)]
+    want = {key: ("Head " if key[0] == "b" else "") + "The copied story. Its second part." for key, *_ in rows}
+    # frames without telling names are templates from the host's other pages, and leave the copies alike
+    for i in range(160):
+        body = "<section><p>Copied story.</p></section>" if i < 20 else f"<section><p>Story {i}.</p></section>"
+        rows.append((f"d{i}", f"http://d.example/{i}", page(f"<div>Offers of shop {i % 10}</div>{body}")))
+        want[f"d{i}"] = "Copied story." if i < 20 else f"Story {i}."
+    df = spark.createDataFrame(rows, "page_id string, url string, html string").repartition(4)
+    assert {r.page_id: r.text for r in html_main_text.extract(df).collect()} == want
+
+
 def test_main_text_of_the_small_pages(spark, small):
     for r in registry.QUERIES["op4_main_text"](spark, SMALL_SF).collect():
         html = small.execute("SELECT html FROM pages WHERE page_id = ?", [r.page_id]).fetchone()[0]

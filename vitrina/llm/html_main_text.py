@@ -1,8 +1,9 @@
 """Main text of web pages: site templates are found by counting subtree hashes per host, and deleted.
 
-A first pass hashes the subtrees of block elements on each page.  Spark counts, per host, on how many different pages
-each hash occurs; a hash on at least ``MIN_PAGES`` pages is a template, however large the host.  A page counts once however many
-copies of it there are.  The templates are joined to the pages' own hashes, so a page gets those that stand on it and no list
+A first pass hashes the subtrees of block elements on each page.  A hash on at least ``MIN_PAGES`` different pages of a host
+recurs; what is left of a page's main text without its recurring subtrees is the page's content.  A recurring hash that stands
+with at least ``MIN_PAGES`` different contents is a template, however large the host.  So copies of an article in differing frames
+count once, like copies of a page: neither makes a template of the article's body.  The templates are joined to the pages' own hashes, so a page gets those that stand on it and no list
 of a host is ever made.  The second pass deletes template subtrees, takes the article (else the main element, else the page) and
 drops what marks itself as menu, header, footer, sidebar, notice, advert, form or comments.
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,43 +52,61 @@ def template_candidates(found: list[html_tree.Element]) -> list[tuple[html_tree.
     return out
 
 
-def page_key(host: Column, html: Column) -> Column:
-    """Equal for copies of a page on one host."""
-    return F.xxhash64(host, html)
+def main_hashes(root: html_tree.Element) -> tuple[dict[int, int | None], int | None]:
+    """Of each subtree that could be a template, by its hash: the hash of what it adds to the page's main text outside such
+    subtrees within it, None if nothing.  And the hash of the rest of the main text.
+    """
+    candidates = template_candidates(html_tree.elements(root))
+    texts = html_tree.texts_by_owner(html_tree.main_roots(root), {id(e) for e, _ in candidates})
+    hashes = {owner: xxhash.xxh3_64_intdigest(text) - (1 << 63) for owner, text in texts.items() if text}
+    return {value: hashes.get(id(e)) for e, value in candidates}, hashes.get(0)
+
+
+def with_keys(pages: DataFrame) -> DataFrame:
+    """Adds ``salt``, which tells the hosts' hashes apart, and ``page``, equal for copies of a page on one host."""
+    return pages.withColumns({"salt": F.xxhash64("host"), "page": F.xxhash64("host", "html")})
 
 
 def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, page, templates array<bigint>): hashes of the subtrees of each page that recur on the host's pages."""
-    source = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
-    source = source.withColumn("page", page_key(F.col("host"), F.col("html")))
+    """(page, templates array<bigint>): salted hashes of the subtrees of each page that are templates of its host."""
+    source = with_keys(pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))).drop("host")
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_blocks(batches, "html"):
-            row, hash_ = [], []
-            for i, text in enumerate(texts):
-                own = {value for _, value in template_candidates(html_tree.elements(html_tree.parse(text)))}
-                row += [i] * len(own)
-                hash_ += own
-            of = pa.array(row, pa.int64())
-            yield pa.record_batch([rows.column("host").take(of), rows.column("page").take(of), pa.array(hash_, pa.int64())],
-                                  names=["host", "page", "hash"])
-
-    found = shared_table(map_arrow(source, hashes, "host string, page bigint, hash bigint").distinct(), "subtrees")
-    recurring = found.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages).select("host", "hash")
-    return found.join(recurring, ["host", "hash"]).groupBy("host", "page").agg(F.collect_list("hash").alias("templates"))
+            page, hash_, main = [], [], []
+            for text, salt, key in zip(texts, rows.column("salt").to_pylist(), rows.column("page").to_pylist(), strict=True):
+                own, rest = main_hashes(html_tree.parse(text))
+                if own:  # the rest goes by the page's own key, which stands on one page only
+                    page += [key] * (len(own) + 1)
+                    hash_ += [*(value ^ salt for value in own), key]
+                    main += [*own.values(), rest]
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in (page, hash_, main)], names=["page", "hash", "main"])
+
+    found = shared_table(map_arrow(source, hashes, "page bigint, hash bigint, main bigint"), "subtrees")
+    # the keys are stored, so that the planner knows their size before it deals the subtrees for a join
+    recurring = shared_table(found.select("hash", "page").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("pages"))
+                             .where(F.col("pages") >= min_pages).select("hash", F.lit(True).alias("recurs")), "recurring")
+    by_page = (found.join(recurring, "hash", "left").groupBy("page")
+               .agg(F.collect_set(F.when(F.col("recurs"), F.col("hash"))).alias("hashes"),
+                    F.xxhash64(F.sort_array(F.collect_set(F.when(F.col("recurs").isNull(), F.col("main"))))).alias("content"))
+               .where(F.size("hashes") > 0))
+    marked = shared_table(by_page.select("page", "content", F.explode("hashes").alias("hash")), "recurring-subtrees")
+    known = shared_table(marked.select("hash", "content").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("contents"))
+                         .where(F.col("contents") >= min_pages).select("hash"), "known")
+    return marked.join(known, "hash").groupBy("page").agg(F.collect_list("hash").alias("templates"))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """(id, url, text): the main text of every row."""
     marks = shared_table(templates(pages, url_col, html_col, min_pages), "templates")
-    source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"),
-                          host_of(F.col(url_col)).alias("host"))
-    source = source.withColumn("page", page_key(F.col("host"), F.col("html"))).join(marks, ["host", "page"], "left").select("id", "url", "html", "templates")
+    source = with_keys(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"),
+                                    host_of(F.col(url_col)).alias("host")))
+    source = source.join(marks, "page", "left").select("id", "url", "html", "salt", "templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_blocks(batches, "html"):
-            known = rows.column("templates").to_pylist()
-            out = [main_text(text, set(own or ())) for text, own in zip(texts, known, strict=True)]
+            known = zip(texts, rows.column("salt").to_pylist(), rows.column("templates").to_pylist(), strict=True)
+            out = [main_text(text, {value ^ salt for value in own or ()}) for text, salt, own in known]
             yield pa.record_batch([rows.column("id"), rows.column("url"), pa.array(out, pa.string())], names=["id", "url", "text"])
 
     kinds = [source.schema[c].dataType.simpleString() for c in ("id", "url")]

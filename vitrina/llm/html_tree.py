@@ -190,3 +190,19 @@ def _pieces(element: Element, skip: frozenset[int] | set[int]) -> Iterator[str]:
 def text_of(element: Element, skip: frozenset[int] | set[int] = frozenset()) -> str:
     """The element's text without what is apart or skipped, white space runs as one blank."""
     return " ".join("".join(_pieces(element, skip)).split())
+
+
+def texts_by_owner(roots: Iterable[Element], owners: set[int]) -> dict[int, str]:
+    """The texts of the roots without what is apart, each under the innermost owner that holds it, 0 if none does."""
+    parts: dict[int, list[str]] = {}
+    for root in roots:
+        inside = root.tag in ("article", "main")
+        todo: list[tuple[Element | str, int]] = [(c, 0) for c in reversed(root.children)]
+        while todo:
+            child, owner = todo.pop()
+            if isinstance(child, str):
+                parts.setdefault(owner, []).append(child)
+            elif not is_apart(child, inside):
+                owner = id(child) if id(child) in owners else owner
+                todo += [(c, owner) for c in reversed(child.children)]
+    return {owner: " ".join(" ".join(own).split()) for owner, own in parts.items()}
