@@ -214,6 +214,13 @@ def test_main_text_of_single_pages():
     assert html_tree.parse("<" * 2000 + "<a '" * 500)
 
 
+def test_parts_of_the_main_text_stay_together():
+    text = lambda html: html_main_text.main_text(page(html), set())
+    assert text("<main><article>first</article><aside>x</aside><section><article>and second</article></section></main><article>else</article>") == "first and second"
+    assert text("<div><article>first</article><article>and second</article><article class=comment>x</article></div>") == "first and second"
+    assert text("<main><p>first</p></main><p>between</p><div role=main><main>and second</main></div>") == "first and second"
+
+
 def test_templates_are_counted_per_host_and_deleted(spark, tmp_path):
     banner = "<div><p>Read all about our offers today</p></div>"
     rows = [(i, f"http://a.example/{i}", page(f"{banner}<section><p>Story {i} of this page</p></section>")) for i in range(20)]

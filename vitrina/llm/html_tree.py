@@ -152,21 +152,27 @@ def is_apart(element: Element, in_article: bool) -> bool:
 
 
 def main_roots(root: Element) -> list[Element]:
-    """The longest article of the page, else its main element, else the whole page."""
-    articles: list[Element] = []
+    """The articles of the page, else its main elements, else the whole page; what lies in one of them is no root of its own.
+
+    Articles in one main element belong together, else those in one parent below the body; an article right in the body stands
+    alone.  Of several such groups the one with the most text is taken.
+    """
+    groups: dict[int, list[Element]] = {}
     mains: list[Element] = []
-    todo = [root]
+    todo: list[tuple[Element, Element | None]] = [(root, None)]
     while todo:
-        element = todo.pop()
+        element, main = todo.pop()
         if element.tag == "article":
-            articles.append(element)
+            group = main or (element if element.parent.tag in ("", "html", "body") else element.parent)
+            groups.setdefault(id(group), []).append(element)
             continue
-        if element.tag == "main" or element.attributes and element.get().get("role", "").lower() == "main":
+        if main is None and (element.tag == "main" or element.attributes and element.get().get("role", "").lower() == "main"):
             mains.append(element)
-        todo += [c for c in reversed(element.children) if not isinstance(c, str) and not is_apart(c, False)]
-    if len(articles) > 1:
-        articles = [max(articles, key=lambda a: len(text_of(a)))]
-    return articles or mains[:1] or [root]
+            main = element
+        todo += [(c, main) for c in reversed(element.children) if not isinstance(c, str) and not is_apart(c, False)]
+    if len(groups) > 1:
+        return max(groups.values(), key=lambda articles: sum(len(text_of(a)) for a in articles))
+    return next(iter(groups.values()), mains) or [root]
 
 
 def _pieces(element: Element, skip: frozenset[int] | set[int]) -> Iterator[str]:
