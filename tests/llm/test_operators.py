@@ -129,6 +129,19 @@ def test_code_switched_text_is_labelled_by_word(spark):
     assert [r.doc_id for r in language_id.with_language(df, model).collect()] == [1]
 
 
+def test_long_runs_of_letters_are_read_whole(spark):
+    rng = random.Random(2)
+    make = lambda lang, n: "".join(rng.choice({"x": "abcd", "y": "wxyz"}[lang]) for _ in range(n))
+    texts = [(" ".join(make(lang, 5) for _ in range(40)), lang) for lang in ("x", "y") for _ in range(40)]
+    model = language_id.train([t for t, _ in texts], [lang for _, lang in texts], steps=60)
+    rows = [(1, make("x", 24) + make("y", 480) + make("x", 24)), (2, make("x", 96) + make("y", 96))]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(df, model).collect()}[1] == "y"
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in language_id.label_words(df, model).collect()}
+    assert spans[2] == [("x", 2), ("y", 2)] and sum(n for _, n in spans[1]) == 11
+    assert "".join(language_id.words_of(rows[0][1])) == rows[0][1] and language_id.words_of("a" * 48 + " b") == ["a" * 48, "b"]
+
+
 # -- 2
 
 

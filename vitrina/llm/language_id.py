@@ -29,11 +29,11 @@ BITS = 16
 #: The labelled sample: so many texts a language in order of a hash of the id, of up to so many characters each.
 SAMPLE_TEXTS, SAMPLE_CHARS = 250, 20_000
 SEGMENT = 32
-_WORDS = re.compile(r"[^\W\d_]+")
-_CUT = 24  # characters of a word, from either end, that make n-grams
+_WORDS = re.compile(r"[^\W\d_]{1,48}")
 
 
 def words_of(text: str) -> list[str]:
+    """Runs of letters; one of more than 48 (a clause in a script without blanks) is cut into consecutive words of up to 48."""
     return _WORDS.findall(text.lower())
 
 
@@ -50,12 +50,10 @@ class Model:
 def word_features(words: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of all words, one after the other, and each word's number of features.
 
-    Character bigrams and trigrams with word bounds, and prefixes and suffixes of one to three characters; of a word
-    of more than 48 characters, of its first and last 24.
+    Character bigrams and trigrams with word bounds, and prefixes and suffixes of one to three characters.
     """
-    short = [w if len(w) <= 2 * _CUT else w[:_CUT] + w[-_CUT:] for w in words]
-    flat = np.frombuffer("".join(f"^{w}$" for w in short).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    sizes = np.array([len(w) + 2 for w in short], np.int64)
+    flat = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(w) + 2 for w in words], np.int64)
     starts = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(words)), sizes)
 
