@@ -218,7 +218,7 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _oracle() -> str:
     start = f"""
 WITH kept AS (SELECT vec_id, row_number() OVER () AS n, [floor({SCALE} * x::DOUBLE)::HUGEINT FOR x IN embedding] AS v FROM embeddings
-  WHERE len(embedding) = {SIZE} AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = {SIZE}),
+  WHERE len(embedding) = {SIZE} AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {SIZE}),
 long AS MATERIALIZED (SELECT n, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept),
 firsts AS (SELECT n, row_number() OVER (ORDER BY sha256('{SEED}:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS k FROM kept QUALIFY k < {CLUSTERS}),
 c0 AS MATERIALIZED (SELECT k, i, x FROM firsts JOIN long USING (n))"""
