@@ -45,7 +45,7 @@ def odd(spark):
 @pytest.fixture(scope="module")
 def small():
     con = duckdb.connect()
-    for name in ("documents", "labels", "pages"):
+    for name in ("documents", "labels", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SMALL_SF}/{name}.parquet')")
     return con
 
@@ -71,11 +71,13 @@ def test_empty_tables(spark, tmp_path, name):
     docs = documents(spark, [])
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
-    out = registry.QUERIES[name](spark, write(tmp_path, documents=docs, labels=labels, pages=pages))
+    embeddings = spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")
+    conversations = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
+    out = registry.QUERIES[name](spark, write(tmp_path, documents=docs, labels=labels, pages=pages, embeddings=embeddings, conversations=conversations))
     assert out.count() == 0
 
 
-@pytest.mark.parametrize("name", sorted(n for n in registry.QUERIES if n not in ("op4_main_text", "op9_packing")))
+@pytest.mark.parametrize("name", sorted(n for n in registry.QUERIES if n not in ("op4_main_text", "op9_packing", "op12_centroids", "op13_conversation_repair")))
 def test_odd_rows_keep_their_number(spark, odd, tmp_path, name):
     labels = spark.createDataFrame([(4, 1, 0), (6, 1, 1), (8, 0, None), (10, None, 1), (10, 1, 0)], "doc_id bigint, quality int, toxic int")
     out = registry.QUERIES[name](spark, write(tmp_path, documents=odd, labels=labels))

@@ -435,3 +435,49 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = given.select(F.col("conv").alias("c")).distinct().join(solved, F.col("c").eqNullSafe(F.col("conv")), "left")
     every = every.select(F.col("c").alias("conv"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"))
     return with_hashes(rows, every).withColumnRenamed("conv", "conv_id")
+
+
+#: The same by a forward recursion over rows and states; a step is up to two inserts and one edit of the row.
+OP13_SQL = rf"""
+WITH RECURSIVE crc AS (SELECT [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                               FOR i IN range(256)] AS steps),
+keyed AS (SELECT *, [ord(c) FOR c IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')] AS codes FROM conversations),
+hashed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             xor(list_reduce(list_concat([4294967295], codes), lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), 4294967295) % 20 AS kind FROM keyed, crc),
+after AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+          FROM hashed, generate_series(1, 2) AS copies(n) WHERE kind <> 0 AND (n = 1 OR kind = 3)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS i FROM after),
+judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                          WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'none' END AS fault,
+             lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM placed),
+summed AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count_if(fault = 'blank')::BIGINT AS blank,
+             count_if(fault = 'duplicate')::BIGINT AS duplicate, count_if(fault = 'truncated')::BIGINT AS truncated,
+             count_if(pair NOT IN ('su', 'ua', 'au'))::BIGINT AS illegal, count(*) AS n FROM judged GROUP BY conv_id),
+grammar(q, role, later) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+inserts AS (SELECT DISTINCT q, 0 AS many, q AS later FROM grammar UNION ALL SELECT q, 1, later FROM grammar WHERE role <> 's'
+            UNION ALL SELECT a.q, 2, b.later FROM grammar a JOIN grammar b ON b.q = a.later WHERE a.role <> 's' AND b.role <> 's'),
+edits AS (SELECT DISTINCT q, NULL AS own, 'D' AS edit, q AS later FROM grammar UNION ALL SELECT q, role, 'K', later FROM grammar
+          UNION ALL SELECT q, NULL, 'R', later FROM grammar WHERE role <> 's'),
+search AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS q, ROW(0::BIGINT, '') AS best FROM summed
+  UNION ALL
+  SELECT s.conv_id, s.i + 1, e.later, min(ROW((s.best[1] + 5 * a.many + CASE edit WHEN 'D' THEN 2 ELSE (edit = 'R')::INT + 5 * (fault = 'truncated')::INT END)::BIGINT,
+                                         s.best[2] || repeat('I', a.many) || edit))
+  FROM search s JOIN judged r ON r.conv_id = s.conv_id AND r.i = s.i + 1 JOIN inserts a ON a.q = s.q JOIN edits e ON e.q = a.later
+  WHERE (own IS NULL OR own = r.role[1]) AND (edit = 'D' OR fault IN ('none', 'truncated'))
+  GROUP BY s.conv_id, s.i, e.later),
+ended AS (SELECT s.conv_id, min(ROW((s.best[1] + 5 * a.many)::BIGINT, s.best[2] || repeat('I', a.many))) AS best
+          FROM search s JOIN summed t ON t.conv_id = s.conv_id AND t.n = s.i JOIN inserts a ON a.q = s.q WHERE a.later IN (0, 3) GROUP BY s.conv_id),
+letters AS (SELECT conv_id, best[2] AS audit, unnest(string_split(best[2], '')) AS edit, generate_subscripts(string_split(best[2], ''), 1) AS p FROM ended),
+numbered AS (SELECT *, count_if(edit <> 'I') OVER w AS i, count_if(edit <> 'D') OVER w - 1 - length(replace(audit, 'D', '')) % 2 AS place
+             FROM letters WHERE edit <> '' WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+lines AS (SELECT n.conv_id, p, CASE edit WHEN 'K' THEN role ELSE CASE place % 2 WHEN 0 THEN 'user' ELSE 'assistant' END END || ':'
+                 || CASE edit WHEN 'I' THEN '' ELSE text END AS line
+          FROM numbered n LEFT JOIN judged r ON r.conv_id = n.conv_id AND r.i = n.i WHERE edit <> 'D'),
+hashes AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY p)) AS sha FROM lines GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best[1], 0) AS cost, coalesce(best[2], '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN summed USING (conv_id) LEFT JOIN ended USING (conv_id) LEFT JOIN hashes USING (conv_id)
+"""

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrina.llm import bpe, exact_dedup, html_main_text, language_id, line_dedup, near_dedup, packing, quality_rules, resampling, toxicity
+from vitrina.llm import (bpe, centroids, conversation_repair, exact_dedup, html_main_text, language_id, line_dedup, near_dedup, packing,
+                         personal_data, quality_rules, resampling, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id.op1_language_id,
@@ -19,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": quality_rules.op8_quality_rules,
     "op9_packing": packing.op9_packing,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_personal_data": personal_data.op11_personal_data,
+    "op12_centroids": centroids.op12_centroids,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -26,4 +30,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_near_dedup": near_dedup.OP6_SQL,
     "op8_quality_rules": quality_rules.OP8_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
+    "op12_centroids": centroids.OP12_SQL,
+    "op13_conversation_repair": conversation_repair.OP13_SQL,
 }
