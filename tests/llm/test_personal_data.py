@@ -22,7 +22,7 @@ def plain(text):
     digits = lambda m: re.sub("[^0-9]", "", m[0])
     luhn = lambda d: sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(d[::-1])) % 10 == 0
     return ([("email", *m.span()) for m in EMAIL.finditer(text)]
-            + [("ip", *m.span()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+            + [("ip", *m.span()) for m in IP.finditer(text) if all(len(x.lstrip("0")) < 4 and int(x.lstrip("0") or 0) <= 255 for x in m[0].split("."))]
             + [("card", *m.span()) for m in CARD.finditer(text) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))]
             + [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(digits(m)) <= 15])
 
