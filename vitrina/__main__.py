@@ -1,7 +1,7 @@
 """Run the feature job on stored source tables.
 
     python -m vitrina --root <folder with the 8 tables> --out <feature table path> \\
-        [--category "FRAGANCIAS"] [--closed-from 201401 --closed-to 201714 --open-from 201715 --open-to 201806] \\
+        [--category "FRAGANCIAS" [--category "MAQUILLAJE" ...]] [--closed-from 201401 --closed-to 201714 --open-from 201715 --open-to 201806] \\
         [--strict] [--format parquet] [--normalised]
 
 The eight tables are read from ``<root>/<source name>`` (DPais, DPRODUCTO, DTIPOOFERTA, FVTAPROEBECAMC01,
@@ -30,7 +30,7 @@ def parse(argv=None) -> argparse.Namespace:
     ap.add_argument("--out", required=True, help="output path of the feature table")
     ap.add_argument("--format", default="parquet", help="storage format of the source tables")
     ap.add_argument("--normalised", action="store_true", help="the tables were written by store_tables")
-    ap.add_argument("--category", default=defaults.category)
+    ap.add_argument("--category", action="append", help=f"repeat it for several categories in one run (default {defaults.category})")
     ap.add_argument("--closed-from", default=defaults.closed_from)
     ap.add_argument("--closed-to", default=defaults.closed_to)
     ap.add_argument("--open-from", default=defaults.open_from)
@@ -42,8 +42,9 @@ def parse(argv=None) -> argparse.Namespace:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     ensure_checkpoint_dir(spark)
+    chosen = args.category or [Params().category]
     p = Params(closed_from=args.closed_from, closed_to=args.closed_to, open_from=args.open_from,
-               open_to=args.open_to, category=args.category, development_to=args.development_to,
+               open_to=args.open_to, category=chosen[0], categories=tuple(chosen) if len(chosen) > 1 else (), development_to=args.development_to,
                strict=args.strict)
     tables = read_tables(job_session(spark), args.root, args.format, normalised=args.normalised)
     write_features(feature_table(tables, p), args.out)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import CAMP, CUC, channel_flags
 from ..params import Params
 from ..sources.tables import Tables
-from .dims import CODTO, PK, PKTO, Dims
+from .dims import CODTO, PK, PKTO, Dims, offer_group
 
 DESCRIBED = ["DesMarca", "CodCategoria", "DesCategoria"]
 # Grain of the offer-level base (#BASE_1): one row per these keys.
@@ -16,7 +16,7 @@ OFFER_KEYS = [CAMP, CUC, *DESCRIBED, CODTO, PKTO, "FlagCatalogo", "FlagRevista",
 
 
 def _closed_sales_rows(t: Tables, p: Params, d: Dims) -> DataFrame:
-    sales = t.sales.filter(F.col(CAMP).between(p.closed_from, p.closed_to)
+    sales = t.sales.filter(F.col(CAMP).between(*p.closed)
                            & (F.col(CAMP) == F.col("AnioCampanaRef")))
     return (sales.select(CAMP, PK, PKTO, "RealUUVendidas", "RealUUFaltantes")
             .join(d.products_cosmetic, PK)
@@ -42,7 +42,7 @@ def open_plan_base(t: Tables, p: Params, d: Dims) -> DataFrame:
 
     Unlike closed rows, open rows are not restricted to the cosmetics unit.
     """
-    plan = t.plan.filter(F.col(CAMP).between(p.open_from, p.open_to)).select(CAMP, PK, PKTO)
+    plan = t.plan.filter(F.col(CAMP).between(*p.open)).select(CAMP, PK, PKTO)
     rows = plan.join(d.products_described, PK).join(d.offer_types_base, PKTO)
     return rows.select(CAMP, CUC, PK, *DESCRIBED, CODTO, PKTO,
                        *[c.alias(n) for n, c in channel_flags(F.col(CODTO)).items()],
@@ -57,15 +57,16 @@ def base_union(t: Tables, p: Params, d: Dims) -> DataFrame:
 
 
 def apply_estimates(base: DataFrame, estimates: DataFrame) -> DataFrame:
-    """OP-5 + OP-6 in one left join on (campaign, CUC).
+    """OP-5 + OP-6 in one left join on (campaign, CUC), and the category where the estimates are kept by it.
 
     Drops keys whose estimate sum is 0 (no estimate row, or a null sum, keeps
     the row); sets the normal price from the estimate, 0 when there is no
     estimate row and null when the matched price is null.
     """
-    est = estimates.select(CAMP, CUC, F.col("NroEstimados").alias("_est"),
+    on = offer_group(estimates)
+    est = estimates.select(*on, F.col("NroEstimados").alias("_est"),
                            F.col("PrecioNormalMN").alias("_normal"), F.lit(True).alias("_has_est"))
-    joined = base.join(est, [CAMP, CUC], "left")
+    joined = base.join(est, on, "left")
     # null-safe: a null estimate sum is not 0, the row stays
     kept = joined.filter(~F.coalesce(F.col("_has_est") & (F.col("_est") == 0), F.lit(False)))
     return (kept.withColumn("PrecioNormalMN", F.when(F.col("_has_est"), F.col("_normal")).otherwise(F.lit(0.0)))
@@ -74,8 +75,8 @@ def apply_estimates(base: DataFrame, estimates: DataFrame) -> DataFrame:
 
 def base_without_zero_estimates(base: DataFrame, estimates: DataFrame) -> DataFrame:
     """OP-5 alone: anti join with the keys whose estimate sum is 0."""
-    zero = estimates.filter(F.col("NroEstimados") == 0).select(CAMP, CUC)
-    return base.join(zero, [CAMP, CUC], "left_anti")
+    on = offer_group(estimates)
+    return base.join(estimates.filter(F.col("NroEstimados") == 0).select(*on), on, "left_anti")
 
 
 def offer_grain_base(t: Tables, p: Params, d: Dims, estimates: DataFrame) -> DataFrame:

@@ -12,19 +12,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import codes
-from ..functions.columns import CUC
+from ..functions.columns import CAMP, CUC
 from ..params import Params
 from ..sources.tables import Tables
 
 PK = "PKProducto"
 PKTO = "PKTipoOferta"
 CODTO = "CodTipoOferta"
+CATEGORY = "DesCategoria"
+
+
+def offer_group(df: DataFrame) -> list[str]:
+    """The key of the offers that are corrected together: campaign and CUC, in each category of the run by itself."""
+    return [CAMP, CUC] + [CATEGORY] * (CATEGORY in df.columns)
 
 
 @dataclass(frozen=True)
 class Dims:
     products: DataFrame               # PKProducto, CodCUC (every product)
-    products_described: DataFrame     # PKProducto, CodCUC, DesMarca, CodCategoria, DesCategoria (run category)
+    products_described: DataFrame     # PKProducto, CodCUC, DesMarca, CodCategoria, DesCategoria (categories of the run)
     products_cosmetic: DataFrame      # the same, cosmetics unit only
     products_in_scope: DataFrame      # PKProducto, CodCUC of every product whose CUC has a product of the category
     scope_cucs: DataFrame             # CodCUC of the category's products (with repeats)
@@ -36,7 +42,8 @@ class Dims:
 def prepare_dims(t: Tables, p: Params) -> Dims:
     product = t.product
     offer_type = t.offer_type
-    described = (product.filter(F.col("DesCategoria") == p.category)
+    wanted = p.run_categories
+    described = (product.filter(F.col("DesCategoria") == wanted[0] if len(wanted) == 1 else F.col("DesCategoria").isin(*wanted))
                  .select(PK, CUC, "DesMarca", "CodCategoria", "DesCategoria", "DesUnidadNegocio"))
     # A semi join emits each product at most once, so its build side needs no
     # distinct (and no exchange for one).

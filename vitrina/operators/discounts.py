@@ -24,7 +24,7 @@ def _parts() -> dict[str, Column]:
 def with_channel_parts(offers: DataFrame) -> DataFrame:
     """Channel maxima as window columns over (campaign, CUC): the offers are
     already partitioned by that key for the corrections, so no exchange."""
-    return offers.withColumns({n: c.over(by_key()) for n, c in _parts().items()})
+    return offers.withColumns({n: c.over(by_key(offers)) for n, c in _parts().items()})
 
 
 def channel_parts_agg() -> list[Column]:

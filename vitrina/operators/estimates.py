@@ -9,20 +9,25 @@ from .. import codes
 from ..functions.columns import CAMP, CUC
 from ..params import Params
 from ..sources.tables import Tables
-from .dims import PK, PKTO, Dims
+from .dims import CATEGORY, PK, PKTO, Dims
 
 
 def _estimate_rows(t: Tables, p: Params, d: Dims) -> DataFrame:
     est = t.estimates.filter((F.col(CAMP) == F.col("AnioCampanaRef"))
                              & F.col(CAMP).between(*p.span))
-    return est.join(d.products_described.select(PK, CUC), PK)
+    return est.join(d.products_described.select(PK, CUC, *_by_category(p)), PK)
+
+
+def _by_category(p: Params) -> list[str]:
+    """A run for several categories keeps the estimates of each apart."""
+    return [CATEGORY] * (len(p.run_categories) > 1)
 
 
 def estimate_summary(t: Tables, p: Params, d: Dims, country: str) -> DataFrame:
     """OP-3: per (campaign, CUC) the estimated units and the normal price
     (dollar normal price for the dollar country, local otherwise)."""
     normal = "PrecioNormalDol" if country == codes.DOLLAR_COUNTRY else "PrecioNormalMN"
-    return (_estimate_rows(t, p, d).groupBy(CAMP, CUC)
+    return (_estimate_rows(t, p, d).groupBy(CAMP, CUC, *_by_category(p))
             .agg(F.sum("EstUUVendidas").alias("NroEstimados"),
                  F.max("PrecioOfertaDol").alias("PrecioOfertaDol"),
                  F.max(normal).alias("PrecioNormalMN")))
@@ -30,5 +35,5 @@ def estimate_summary(t: Tables, p: Params, d: Dims, country: str) -> DataFrame:
 
 def dollar_offer_price(t: Tables, p: Params, d: Dims) -> DataFrame:
     """OP-4: highest dollar offer price per (campaign, CUC, offer type key)."""
-    return (_estimate_rows(t, p, d).groupBy(CAMP, CUC, PKTO)
+    return (_estimate_rows(t, p, d).groupBy(CAMP, CUC, *_by_category(p), PKTO)
             .agg(F.max("PrecioOfertaDol").alias("PrecioOfertaDol")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import CAMP, CUC, flag, guarded_inverse, not_zero, season_flags
+from ..functions.exact_sum import exact_avg, exact_sum
 from .discounts import channel_columns, channel_parts_agg
 from ..params import Params
 from .dims import PKTO
@@ -35,17 +36,17 @@ def campaign_product_features(offers: DataFrame, orders: DataFrame, p: Params, c
     channels = "_has_rev" in offers.columns
     joined = offers.join(orders.select(CAMP, "RealNroPedidos"), CAMP)
     agg = joined.groupBy(*FEATURE_KEYS).agg(
-        F.avg("PrecioOferta").alias("PrecioOfertaProm"),
+        exact_avg("PrecioOferta").alias("PrecioOfertaProm"),
         F.min("PrecioOferta").alias("PrecioOfertaMin"),
         F.max("PrecioOferta").alias("PrecioOfertaMax"),
-        F.avg("PrecioNormalMN").alias("PrecioNormalMN"),
+        exact_avg("PrecioNormalMN").alias("PrecioNormalMN"),
         F.countDistinct(PKTO).alias("NroTipoOfertas"),
         F.sum("FlagCatalogo").alias("NroTipoOfertasCatalogo"),
         F.sum("FlagRevista").alias("NroTipoOfertasRevista"),
         F.sum(F.col("RealUUVendidas") + F.col("RealUUFaltantes")).alias("RealUUDemandadas"),
         F.min("Exposicion").alias("ExposicionMin"),
         F.max("Exposicion").alias("ExposicionMax"),
-        F.sum("ExposicionOriginal").alias("ExposicionTotal"),
+        exact_sum("ExposicionOriginal").alias("ExposicionTotal"),
         F.max("Descuento").alias("MaxDescuento"),
         F.sum(F.coalesce(F.col("NroPaginas"), F.lit(0).cast("bigint"))).alias("NroPaginas"),
         *(channel_parts_agg() if channels else []),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import CAMP, CUC, discount
-from .dims import PKTO
+from .dims import PKTO, offer_group
 
 
 def laid_out_offers(base: DataFrame, totals: DataFrame, dollar: DataFrame | None = None,
@@ -29,8 +29,9 @@ def laid_out_offers(base: DataFrame, totals: DataFrame, dollar: DataFrame | None
         "Descuento": discount(F.col("PrecioNormalMN"), F.col("_price")),
     }).drop("_price", "_exp", "_pages")
     if dollar is not None:
-        dol = dollar.select(CAMP, CUC, PKTO, F.col("PrecioOfertaDol").alias("_dol"), F.lit(True).alias("_has_dol"))
-        offers = (offers.join(dol, [CAMP, CUC, PKTO], "left")
+        on = [*offer_group(dollar), PKTO]
+        dol = dollar.select(*on, F.col("PrecioOfertaDol").alias("_dol"), F.lit(True).alias("_has_dol"))
+        offers = (offers.join(dol, on, "left")
                   .withColumn("PrecioOferta", F.when(F.col("_has_dol"), F.col("_dol"))
                               .otherwise(F.col("PrecioOferta")))
                   .drop("_dol", "_has_dol"))

@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 
 from .. import codes
 from ..functions.columns import CAMP, CUC, discount, keyed
-from .dims import CODTO
+from .dims import CODTO, offer_group
 
 
-
-def by_key() -> Window:
-    """Window over one (campaign, CUC) group, no ordering, whole group as frame."""
-    return Window.partitionBy(CAMP, CUC)
+def by_key(offers: DataFrame) -> Window:
+    """Window over one (campaign, CUC) group of a category, no ordering, whole group as frame."""
+    return Window.partitionBy(*offer_group(offers))
 
 
 def set_price_smoothing(offers: DataFrame, supported_keys: DataFrame) -> DataFrame:
@@ -30,13 +29,12 @@ def set_price_smoothing(offers: DataFrame, supported_keys: DataFrame) -> DataFra
     price take the group's average price, and their discount is recomputed."""
     marks = supported_keys.select(CAMP, CUC).distinct().withColumn("_supported", F.lit(True))
     price = F.col("PrecioOferta")
-    low = F.min(price).over(by_key())
-    low_set = F.min(F.when(F.col(CODTO).isin(*codes.OFFER_CODES_SET) & (price > 0), price)).over(by_key())
-    # The rows of a window arrive in shuffle order, so a plain float average could
-    # differ in its last bit between runs, and a later equality with it.  Summed
-    # in ascending order it is the same average on every run; a group is bounded.
-    prices = F.sort_array(F.collect_list(price).over(by_key()))
-    mean = F.aggregate(prices, F.lit(0.0), lambda total, x: total + x) / F.nullif(F.size(prices), F.lit(0))
+    low = F.min(price).over(by_key(offers))
+    low_set = F.min(F.when(F.col(CODTO).isin(*codes.OFFER_CODES_SET) & (price > 0), price)).over(by_key(offers))
+    # The rows of a window arrive in shuffle order, so a plain average could differ in its last bit between runs, and a later
+    # equality with it.  Over a whole-group frame in order of the price it is the same sum on every run.
+    ordered = by_key(offers).orderBy(price).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    mean = F.avg(price).over(ordered)
     supported = F.coalesce(F.col("_supported"), F.lit(False))
     hit = keyed() & (price == low) & ((low == low_set) | (supported & low.isNotNull()))
     return (offers.join(marks, [CAMP, CUC], "left")
@@ -49,7 +47,7 @@ def set_price_smoothing(offers: DataFrame, supported_keys: DataFrame) -> DataFra
 def zero_exposure_fill(offers: DataFrame) -> DataFrame:
     """OP-15: zero exposure takes the lowest positive exposure of its group."""
     exp = F.col("Exposicion")
-    low_pos = F.min(F.when(exp > 0, exp)).over(by_key())
+    low_pos = F.min(F.when(exp > 0, exp)).over(by_key(offers))
     return offers.withColumn("Exposicion", F.when(keyed() & (exp == 0) & low_pos.isNotNull(), low_pos)
                              .otherwise(exp))
 
@@ -59,8 +57,8 @@ def zero_price_fill(offers: DataFrame) -> DataFrame:
     discount the lowest discount among the positively priced offers."""
     price = F.col("PrecioOferta")
     positive = price > 0
-    low_pos = F.min(F.when(positive, price)).over(by_key())
-    low_disc = F.min(F.when(positive, F.col("Descuento"))).over(by_key())
+    low_pos = F.min(F.when(positive, price)).over(by_key(offers))
+    low_disc = F.min(F.when(positive, F.col("Descuento"))).over(by_key(offers))
     hit = keyed() & (price == 0) & low_pos.isNotNull()
     return offers.withColumns({"PrecioOferta": F.when(hit, low_pos).otherwise(price),
                                "Descuento": F.when(hit, low_disc).otherwise(F.col("Descuento"))})

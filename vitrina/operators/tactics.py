@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import codes
 from ..functions.columns import CAMP, CUC, exposure, exposure_is_bad, exposure_number, flag, not_zero
+from ..functions.exact_sum import exact_sum
 from ..params import Params
 from ..sources.tables import Tables
 from .dims import CODTO, PK, PKTO, Dims
@@ -53,7 +54,7 @@ def closed_tactic_groups(t: Tables, p: Params, d: Dims, scoped: bool = False) ->
     ``_positive`` is the lowest positive price of the group: offer prices are rolled up from it, so the closed
     plan is scanned once.
     """
-    rows = _plan_rows(t, p, d, (p.closed_from, p.closed_to), scoped).filter(
+    rows = _plan_rows(t, p, d, p.closed, scoped).filter(
         F.col("CodVenta") != codes.DUMMY_SALE_CODE)
     price = F.col("PrecioOferta")
     return rows.groupBy(*TACTIC_KEYS).agg(*_maxima(), F.min(F.when(price > 0, price)).alias("_positive"))
@@ -68,7 +69,7 @@ def tactics_closed(groups: DataFrame, p: Params, price: Column | None = None) ->
 
 def tactics_open(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFrame:
     """OP-7, open branch: every open tactic with its lowest plan price."""
-    rows = _plan_rows(t, p, d, (p.open_from, p.open_to), scoped)
+    rows = _plan_rows(t, p, d, p.open, scoped)
     return (rows.groupBy(*TACTIC_KEYS).agg(*_maxima(), F.min("PrecioOferta").alias("PrecioOferta"))
             .withColumn("Exposicion", _tactic_exposure(p))
             .select(*TACTIC_COLUMNS))
@@ -119,7 +120,7 @@ def clean_tactics(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFr
 
 def tactic_totals(tactics: DataFrame, mask: Column | None = None) -> DataFrame:
     """OP-10: per (campaign, CUC, offer key) the lowest price and the summed
-    exposure and pages, nulls counted as 0.
+    exposure and pages, nulls counted as 0.  The exposure sum is the same for every order of the rows.
 
     With ``mask`` (the flags of a tactic packed into bits, ``flags.flag_mask``)
     the same aggregate also carries the OR of the masks of the group: bit i
@@ -128,7 +129,7 @@ def tactic_totals(tactics: DataFrame, mask: Column | None = None) -> DataFrame:
     extra = [] if mask is None else [F.bit_or(mask).alias("_flag_mask")]
     return tactics.groupBy(CAMP, CUC, PKTO).agg(
         F.min("PrecioOferta").alias("PrecioOferta"),
-        F.sum(F.coalesce(F.col("Exposicion"), F.lit(0.0))).alias("Exposicion"),
+        exact_sum("coalesce(Exposicion, 0D)").alias("Exposicion"),
         F.sum(F.coalesce(F.col("NroPaginas"), F.lit(0).cast("bigint"))).alias("NroPaginas"),
         *extra)
 

@@ -9,9 +9,11 @@ from . import codes
 
 @dataclass(frozen=True)
 class Params:
-    """One run of the job: one category, a closed and an open campaign window.
+    """One run of the job: one category or several at once, a closed and an open campaign window.
 
-    Campaign codes are fixed-width ``YYYYCC`` strings and compare as strings.
+    Campaign codes are fixed-width ``YYYYCC`` strings and compare as strings.  With ``categories`` one run gives the rows of all of them, each
+    numbered and corrected by itself, as if there had been a run for each.  ``part_from`` and ``part_to`` limit the campaigns whose rows are made;
+    the windows keep their meaning.
     """
 
     closed_from: str = "201401"
@@ -22,9 +24,12 @@ class Params:
     development_to: str = "201710"
     # Raise instead of returning null for unparsable exposure texts and zero order counts.
     strict: bool = False
+    categories: tuple[str, ...] = ()
+    part_from: str = "000000"
+    part_to: str = "999999"
 
     def __post_init__(self):
-        for name in ("closed_from", "closed_to", "open_from", "open_to", "development_to"):
+        for name in ("closed_from", "closed_to", "open_from", "open_to", "development_to", "part_from", "part_to"):
             value = getattr(self, name)
             if len(value) != 6 or not value.isdigit():
                 raise ValueError(f"{name} must be a YYYYCC campaign code, got {value!r}")
@@ -32,11 +37,36 @@ class Params:
             raise ValueError("campaign window with start after end")
         if self.closed_from <= self.open_to and self.open_from <= self.closed_to:
             raise ValueError("closed and open campaign windows overlap")
+        if len(set(self.categories)) < len(self.categories):
+            raise ValueError("a category is named twice")
+
+    @property
+    def run_categories(self) -> tuple[str, ...]:
+        return self.categories or (self.category,)
+
+    def _part(self, first: str, last: str) -> tuple[str, str]:
+        """What of a window is asked for; empty (first > last) if nothing is."""
+        return (max(first, self.part_from), min(last, self.part_to))
+
+    @property
+    def closed(self) -> tuple[str, str]:
+        """Closed campaigns whose rows are made."""
+        return self._part(self.closed_from, self.closed_to)
+
+    @property
+    def open(self) -> tuple[str, str]:
+        """Open campaigns whose rows are made."""
+        return self._part(self.open_from, self.open_to)
 
     @property
     def span(self) -> tuple[str, str]:
         """Window of estimates and support pairs: start of closed to end of open."""
-        return (self.closed_from, self.open_to)
+        return self._part(self.closed_from, self.open_to)
+
+    @property
+    def whole(self) -> tuple[str, str]:
+        """Both windows and what lies between them."""
+        return self._part(self.all_from, self.all_to)
 
     @property
     def all_from(self) -> str:

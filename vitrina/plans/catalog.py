@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,29 +51,42 @@ def _kind(name: str, text_cols=frozenset()) -> str:
     return "d" if name in DOUBLE_COLUMNS else "i"
 
 
-def significant(x):
+#: A value below 10^k is cut to so many decimals.
+_DECIMALS = [(k, oracle.DIGITS - k) for k in range(-6, oracle.DIGITS + 1)]
+
+
+def significant(x: Column) -> Column:
     """``x`` to ``oracle.DIGITS`` significant digits, in doubles throughout (no integer in between).
 
     The two engines add up in different orders, which changes the last digits of a sum.  The scale comes from
     the same comparisons and literals as in the oracle SQL, so equal doubles give equal results there and here.
     """
-    out = None
-    for k in range(-6, oracle.DIGITS + 1):
-        scale = F.lit(float(f"1e{oracle.DIGITS - k}"))
-        small = F.abs(x) < F.lit(float(f"1e{k}"))
-        value = F.rint(x * scale) / scale
-        out = F.when(small, value) if out is None else out.when(small, value)
-    return out.otherwise(x) + F.lit(0.0)
+    return F.transform(F.array(x), lambda v: F.call_function("coalesce", *[
+        F.when(F.abs(v) < F.lit(float(f"1e{k}")), F.rint(v * F.lit(float(f"1e{n}"))) / F.lit(float(f"1e{n}"))) for k, n in _DECIMALS], v) + F.lit(0.0))[0]
+
+
+def _significant(x: str) -> str:
+    """The same as SQL text, which reaches the JVM in one call."""
+    cases = " ".join(f"WHEN abs({x}) < 1E{k}D THEN rint({x} * 1E{n}D) / 1E{n}D" for k, n in _DECIMALS)
+    return f"(CASE {cases} ELSE {x} END + 0D)"
 
 
 def tidy(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns in the catalogue order; integers as bigint, doubles to significant digits."""
+    """Columns in the catalogue order; integers as bigint, doubles to significant digits.
+
+    The digits are cut by one expression over an array of the doubles: written out for each of some 20 columns it grows beyond
+    what Java compiles in one method (64 KB), and the query then runs interpreted.
+    """
     out = []
     types = dict((f.name, f.dataType) for f in df.schema.fields)
+    doubles = [n for n in columns if isinstance(types[n], (T.DoubleType, T.FloatType, T.DecimalType))]
+    if len(doubles) > 1:
+        values = ", ".join(f"cast(`{n}` AS double)" for n in doubles)
+        df = df.withColumn("_doubles", F.expr(f"transform(array({values}), x -> {_significant('x')})"))
     for name in columns:
         dt = types[name]
-        if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
-            out.append(significant(F.col(name).cast("double")).alias(name))
+        if name in doubles:
+            out.append((F.col("_doubles")[doubles.index(name)] if len(doubles) > 1 else F.expr(_significant(f"cast(`{name}` AS double)"))).alias(name))
         elif isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
             out.append(F.col(name).cast("bigint").alias(name))
         else:
@@ -97,6 +110,8 @@ class Query:
 
     def sql(self) -> str:
         cols = [(c, _kind(c, self.text_columns)) for c in self.columns]
+        if self.params.categories:
+            return oracle.categories_sql(self.relation, cols, self.params, self.country)
         return oracle.query_sql(self.relation, cols, self.params, self.country, list(self.extra_ctes))
 
 
@@ -292,4 +307,7 @@ def catalogue() -> dict[str, Query]:
         p = Params(category=category)
         q.append(Query(f"feature_table_{_category_slug(category)}", _q_features_full("S2", p), OUTPUT_COLUMNS,
                        "result", params=p))
+    for name, country in (("feature_table_all_categories", "S2"), ("feature_table_all_categories_bo", "BO")):
+        p = Params(categories=codes.CATEGORIES)
+        q.append(Query(name, _q_features_full(country, p), OUTPUT_COLUMNS, "result", country=country, params=p))
     return {x.name: x for x in q}

@@ -74,7 +74,7 @@ def build(t: Tables, p: Params, country: str | None = None, dims: Dims | None =
     keys = support.supported_keys(support.supported_products(t, p, d, scoped=True))
     corrected = smoothing.corrected_offers(laid_out, keys)
 
-    orders = t.orders.filter(t.orders[CAMP].between(p.all_from, p.all_to))
+    orders = t.orders.filter(t.orders[CAMP].between(*p.whole))
     feats = features.campaign_product_features(discounts.with_channel_parts(corrected), orders, p, country,
                                                carry=names)
     feats = feats.withColumns(flags.unpack_mask(list(predicates))).drop(flags.MASK)
@@ -92,9 +92,9 @@ def finish(st: Stages) -> DataFrame:
     list reads one column.
     """
     core = stored(st.core, "features")
-    return sequences.attach_sequences(core, st.params.max_campaigns()).select(*OUTPUT_COLUMNS)
+    return sequences.attach_sequences(core, st.params.max_campaigns() * len(st.params.run_categories)).select(*OUTPUT_COLUMNS)
 
 
 def feature_table(t: Tables, p: Params | None = None, country: str | None = None) -> DataFrame:
-    """The 78-column feature table of one category."""
+    """The 78-column feature table of the run's category, or of all its categories in one pass over the facts."""
     return finish(build(t, p or Params(), country))

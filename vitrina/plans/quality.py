@@ -37,10 +37,10 @@ def quality_metrics(t: Tables, p: Params, d: Dims) -> DataFrame:
     * ``campaigns_with_several_order_counts``: campaigns with more than one
       order count (their result rows split).
     """
-    window = F.col(CAMP).between(p.all_from, p.all_to)
+    window = F.col(CAMP).between(*p.whole)
     plan = t.plan.filter(window)
     bad = plan.filter(exposure_is_bad(F.col("DesExposicion")))
-    priced = (plan.filter((F.col("PrecioOferta") > 0) & F.col(CAMP).between(p.closed_from, p.closed_to)
+    priced = (plan.filter((F.col("PrecioOferta") > 0) & F.col(CAMP).between(*p.closed)
                           & (F.col("CodVenta") != codes.DUMMY_SALE_CODE)
                           & F.col("DesTipoCatalogo").isin(*codes.CATALOGUES))
               .join(d.offer_types_catalogue, PKTO).join(d.products, PK)

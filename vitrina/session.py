@@ -17,6 +17,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "8g")
+             # the call site of each column function costs several round trips to the JVM, half of a plan's building time
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

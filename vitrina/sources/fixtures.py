@@ -55,9 +55,9 @@ PLAN_COLUMNS = {
     "PKProducto": "l_partkey",
     "PKTipoOferta": "pkto",
     "CodVenta": "case when l_orderkey%29=0 then '00000' else lpad(cast(l_orderkey%99999+1 as varchar(5)),5,'0') end",
-    "DesTipoCatalogo": ("case when l_linenumber=6 then 'FOLLETO' else case (l_orderkey+l_linenumber)%9 when 0 then 'FOLLETO' when 1 then 'CATALOGO CYZONE' "
+    "DesTipoCatalogo": ("case (l_orderkey+l_linenumber)%9 when 0 then 'FOLLETO' when 1 then 'CATALOGO CYZONE' "
                         "when 2 then 'CATALOGO EBEL/LBEL' when 3 then 'CATALOGO ESIKA' when 4 then 'CATALOGO ESIKA' "
-                        "when 5 then 'CATALOGO CYZONE' else 'REVISTA BELCORP' end end"),
+                        "when 5 then 'CATALOGO CYZONE' else 'REVISTA BELCORP' end"),
     "DesUbicacionCatalogo": ("case l_suppkey%11 when 0 then 'CARATULA' when 1 then 'CONTRA CARATULA' "
                              "when 2 then 'CARATULA Y CONTRACARATULA' when 3 then 'POSTER' when 4 then 'INSERTO' "
                              "when 5 then 'PRIMERA PAGINA (2 Y 3)' when 6 then cast(null as varchar(30)) "
@@ -80,7 +80,7 @@ PLAN_COLUMNS = {
 
 ESTIMATE_COLUMNS = {
     "AnioCampana": "camp",
-    "AnioCampanaRef": "case when l_linenumber in (2,7) then '000000' else camp end",
+    "AnioCampanaRef": "case when l_linenumber=7 then '000000' else camp end",
     "PKProducto": "l_partkey",
     "PKTipoOferta": "pkto",
     "EstUUVendidas": ("case when cuc%10=5 and l_orderkey%2=0 then 0 when cuc%15=0 and right(camp,1)='3' then 0 "
@@ -90,14 +90,15 @@ ESTIMATE_COLUMNS = {
     "PrecioNormalMN": "case when cuc%25=10 and right(camp,1)='5' then cast(0 as double) else p_retailprice end",
 }
 
-# Support pairs: every line fans out to n = 1..k supported products; those of most orders name no known product.
-SUPPORT_FANOUT = "case when l_linenumber>=5 then 12 else l_linenumber end"
+# Support pairs: every line fans out to n = 1..k supported products, each of another CUC; one order in 29 names no known product.
+# The limit of 10 supported CUCs is met from both sides: k runs over 1-4 and 8-12.
+SUPPORT_FANOUT = "case when l_linenumber>=5 then 8+l_orderkey%5 else l_linenumber end"
 SUPPORT_COLUMNS = {
     "AnioCampana": "camp",
     "PKProductoApoyador": "l_partkey",
     "PKTipoOfertaApoyador": "pkto",
 }
-SUPPORTED_PRODUCT = "case when l_orderkey%6=0 then (l_partkey+20*n) % {part_count} else -1 end"
+SUPPORTED_PRODUCT = "case when l_orderkey%29=7 then -1 else (l_partkey+20*n) % {part_count} end"
 
 # Order counts: the 11th campaigns of a year have two of them, the 13th of one year has none.
 ORDERS_CAMPAIGN = CAMPAIGN_OF.format(d="o_orderdate")
