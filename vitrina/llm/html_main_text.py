@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from vitrina.llm import html_tree
 from vitrina.llm.common import map_arrow, shared_table, table, text_blocks
 
-MIN_PAGES = 8
+MIN_PAGES = 3
 _CONTAINERS = frozenset("div section nav header footer aside ul ol dl table form figure details center".split())
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre address".split())
 
@@ -116,7 +116,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 def main_text(page: str, known: set[int]) -> str:
     root = html_tree.parse(page)
     skip = {id(e) for e, value in template_candidates(html_tree.elements(root)) if value in known} if known else set()
-    return " ".join(filter(None, (html_tree.text_of(r, skip) for r in html_tree.main_roots(root))))
+    return " ".join(filter(None, (html_tree.text_of(r, skip) for r in html_tree.main_roots(root, skip))))
 
 
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import xxhash
@@ -32,9 +33,12 @@ APART_WORDS = frozenset(
     " toolbar pagination pager skiplink".split())
 HEADER_WORDS = frozenset(("header", "topbar"))
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_OTHER = r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
+_TAG = re.compile(_OTHER + r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+#: The same without regard to quotes, with the same groups.
+_LOOSE_TAG = re.compile(_OTHER + r"|<(?!)()()>|<([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+#: An element that a start tag ends by implication is looked for so many levels up.
+_LEVELS = 256
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_WORD = re.compile(r"[a-z]+")
 
@@ -51,11 +55,16 @@ class Element:
 
 
 def parse(page: str) -> Element:
-    """The tree of a page; never fails.  End tags without a start are passed over, open elements end with their parent."""
+    """The tree of a page; never fails.  End tags without a start are passed over, open elements end with their parent.
+
+    Broken pages take time in proportion to their length too: what follows the last ``>`` is text, after the first tag whose quotes don't close, quotes
+    are not minded, and a count of the open elements by name tells at once that an end tag has no start.
+    """
     root = here = Element("", "", None)
-    at, end = 0, len(page)
+    open_tags: Counter[str] = Counter()
+    at, end, last, tag = 0, len(page), page.rfind(">"), _TAG
     while at < end:
-        found = _TAG.search(page, at)
+        found = tag.search(page, at, last + 1) if at <= last else None
         text = page[at:found.start() if found else end]
         if text:
             here.children.append(html.unescape(text) if "&" in text else text)
@@ -64,17 +73,19 @@ def parse(page: str) -> Element:
         at = found.end()
         closing, opening, attributes, odd, odd_attributes = found.groups()
         if closing:
-            name, up = closing.lower(), here
-            while up.parent is not None and up.tag != name:
-                up = up.parent
-            if up.parent is not None:
-                here = up.parent
+            name = closing.lower()
+            if open_tags[name]:
+                here = _ended(here, name, open_tags)
             continue
-        opening, attributes = (opening, attributes) if opening else (odd, odd_attributes)
+        if odd:
+            opening, attributes, tag = odd, odd_attributes, _LOOSE_TAG
         if not opening:
             continue
         name = opening.lower()
-        here = _implied_ends(here, name)
+        until = _implied_end(here, name, open_tags)
+        while until is not None and here is not until.parent:
+            open_tags[here.tag] -= 1
+            here = here.parent
         element = Element(name, attributes, here)
         if name in RAW and not attributes.endswith("/"):
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
@@ -84,24 +95,36 @@ def parse(page: str) -> Element:
             here.children.append(element)
             if name not in VOID and not attributes.endswith("/"):
                 here = element
+                open_tags[name] += 1
     return root
 
 
-def _implied_ends(here: Element, name: str) -> Element:
+def _ended(here: Element, name: str, open_tags: Counter[str]) -> Element:
+    """The parent of the innermost open element of the name; it and all within it end."""
+    while True:
+        open_tags[here.tag] -= 1
+        if here.tag == name:
+            return here.parent
+        here = here.parent
+
+
+def _implied_end(here: Element, name: str, open_tags: Counter[str]) -> Element | None:
+    """The open element that a start tag of the name ends, if any."""
     targets, bounds = _IMPLIED.get(name, (None, None))
     if name in _ENDS_P:
         targets, bounds = {"p"}, {"button", "td", "th", "table", "article", "section", "div", "li", "blockquote"}
-    if targets:
-        up, outermost = here, None
-        while up.parent is not None and up.tag not in bounds:
+    outermost = None
+    if targets and any(open_tags[t] for t in targets):
+        up = here
+        for _ in range(_LEVELS):
+            if up.parent is None or up.tag in bounds:
+                break
             if up.tag in targets:
                 outermost = up
                 if name in _ENDS_P:
                     break
             up = up.parent
-        if outermost is not None:
-            return outermost.parent
-    return here
+    return outermost
 
 
 def elements(root: Element) -> list[Element]:
@@ -151,12 +174,23 @@ def is_apart(element: Element, in_article: bool) -> bool:
     return bool(words & APART_WORDS) or not in_article and bool(words & HEADER_WORDS)
 
 
-def main_roots(root: Element) -> list[Element]:
+def holders(root: Element) -> set[int]:
+    """By id(): the elements that hold an article or main element."""
+    out: set[int] = set()
+    for element in reversed(elements(root)):
+        if element.tag in ("article", "main") or id(element) in out:
+            out.add(id(element.parent))
+    return out
+
+
+def main_roots(root: Element, skip: frozenset[int] | set[int] = frozenset()) -> list[Element]:
     """The articles of the page, else its main elements, else the whole page; what lies in one of them is no root of its own.
 
     Articles in one main element belong together, else those in one parent below the body; an article right in the body stands
-    alone.  Of several such groups the one with the most text is taken.
+    alone.  Of several such groups the one with the most text is taken, text of skipped subtrees not counted.  A form around an article or main element is
+    a mere container.
     """
+    around = holders(root)
     groups: dict[int, list[Element]] = {}
     mains: list[Element] = []
     todo: list[tuple[Element, Element | None]] = [(root, None)]
@@ -169,9 +203,10 @@ def main_roots(root: Element) -> list[Element]:
         if main is None and (element.tag == "main" or element.attributes and element.get().get("role", "").lower() == "main"):
             mains.append(element)
             main = element
-        todo += [(c, main) for c in reversed(element.children) if not isinstance(c, str) and not is_apart(c, False)]
+        todo += [(c, main) for c in reversed(element.children) if not isinstance(c, str) and id(c) not in skip
+                 and (c.tag == "form" and id(c) in around or not is_apart(c, False))]
     if len(groups) > 1:
-        return max(groups.values(), key=lambda articles: sum(len(text_of(a)) for a in articles))
+        return max(groups.values(), key=lambda articles: sum(len(text_of(a, skip)) for a in articles))
     return next(iter(groups.values()), mains) or [root]
 
 
