@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from vitrina.llm import html_tree
 from vitrina.llm.common import map_arrow, shared_table, table, text_blocks
 
-MIN_PAGES = 3
+MIN_PAGES = 4
 _CONTAINERS = frozenset("div section nav header footer aside ul ol dl table form figure details center".split())
 _BLOCKS = _CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre address".split())
 
