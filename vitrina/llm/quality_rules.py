@@ -1,10 +1,15 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-Each document gets counts and a few ratios; a ratio above its stratum's cutoff rejects the document.  A cutoff is
-admitted if good labelled documents show, by the exact binomial tail, that it rejects at most ``RISK / rules`` of the good documents of the
-stratum: P(X <= rejected | n, risk) <= DELTA / (strata * rules * cutoffs).  The Bonferroni correction makes all admitted cutoffs
-hold together with probability 1 - DELTA; the strictest admitted one is used, and a rule without one rejects nothing.
-Hence no stratum loses more than ``RISK`` of its good documents to these rules.
+Each document gets counts and a few ratios; a ratio above its stratum's cutoff rejects the document.  Cutoffs are chosen on good labelled documents
+of the stratum (its language), by the exact binomial tail P(X <= rejected | n, risk), in fixed sequences from lenient to strict
+that stop at the first failure, so that the cutoffs of a sequence need no correction among themselves:
+
+* a sequence for each rule, where a cutoff may reject ``RISK / rules`` of the good documents.  Strata and rules are corrected by Bonferroni;
+* one sequence of joint cutoffs, where step i of all rules together may reject ``RISK``.  It needs far fewer documents (about 200) and
+  is used in strata where no rule gets a cutoff by itself.
+
+The joint sequences get ``JOINT_SHARE`` of ``DELTA``, the rules' the rest.  Hence with probability 1 - ``DELTA`` no stratum loses more than ``RISK`` of its
+good documents to these rules.  A stratum without an admitted cutoff rejects nothing.
 
 Null text has no words; a null stratum is a stratum of its own.  Repeated rows are judged alike.  A document labelled
 more than once counts as good only if all its labels say so.
@@ -24,6 +29,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 #: Largest share of a stratum's good documents that the rules may reject, and the chance that this fails.
 RISK, DELTA = 0.03, 0.05
+#: The part of DELTA that goes to the joint cutoffs.
+JOINT_SHARE = 0.125
 #: Ratio, its numerator and denominator, and the cutoffs tried, from lenient to strict.
 RULES = {
     "symbols_per_word": ("n_symbols", "n_words", [1.0, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05, 0.02]),
@@ -34,6 +41,8 @@ RULES = {
     "repeated_word_share": ("n_repeat_words", "n_words", [0.19, 0.15, 0.12, 0.1, 0.08, 0.05, 0.03, 0.01]),
 }
 
+STEPS = min(len(cutoffs) for *_, cutoffs in RULES.values())
+
 
 def _bind(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, also inside other lambdas."""
@@ -133,21 +142,41 @@ def log_binomial_tail(k: Column, n: Column, p: float) -> Column:
     return first + F.log(F.aggregate(steps, zero, add, lambda s: s["sum"]))
 
 
+def _joint(step: int) -> Column:
+    """Whether any rule rejects at its cutoff of the step."""
+    out = F.lit(False)
+    for rule, (_, _, cutoffs) in RULES.items():
+        out = out | _exceeds(rule, cutoffs[step])
+    return out
+
+
 def thresholds(good: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """(stratum, one cutoff column for each rule): ``good`` holds the measures of good labelled documents.
 
-    A null cutoff rejects nothing.
+    A null cutoff rejects nothing; a stratum without any is left out.
     """
-    share = risk / len(RULES)
-    cuts = [(rule, cut) for rule, (_, _, cutoffs) in RULES.items() for cut in cutoffs]
+    trials = [(rule, i, _exceeds(rule, cut)) for rule, (_, _, cutoffs) in RULES.items() for i, cut in enumerate(cutoffs)]
+    trials += [("", i, _joint(i)) for i in range(STEPS)]
     counted = shared_table(good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[
-        F.count_if(_exceeds(rule, cut)).alias(f"k{i}") for i, (rule, cut) in enumerate(cuts)]), "rule-counts")
-    trials = counted.select("stratum", "n", F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(cut).alias("cutoff"), F.col(f"k{i}").alias("k")) for i, (rule, cut) in enumerate(cuts)])).alias("t"))
-    tests = max(1, counted.count()) * len(cuts)
-    k, n = F.col("t.k"), F.col("n")
-    admitted = trials.where((k <= n * share) & (log_binomial_tail(k, n, share) <= math.log(delta / tests)))
-    return admitted.groupBy("stratum").agg(*[F.min(F.when(F.col("t.rule") == rule, F.col("t.cutoff"))).alias(rule) for rule in RULES])
+        F.count_if(rejected).alias(f"k{t}") for t, (_, _, rejected) in enumerate(trials)]), "rule-counts")
+    strata = max(1, counted.count())
+    tests = counted.select("stratum", "n", F.explode(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.col(f"k{t}").alias("k")) for t, (rule, i, _) in enumerate(trials)])).alias("t"))
+
+    def admitted(share: float, level: float) -> Column:
+        k, n = F.col("t.k"), F.col("n")
+        return (k <= n * share) & (log_binomial_tail(F.least(k, (n * share).cast("bigint")), n, share) <= math.log(level))
+
+    fails = F.when(F.col("t.rule") == "", ~admitted(risk, JOINT_SHARE * delta / strata)).otherwise(
+        ~admitted(risk / len(RULES), (1 - JOINT_SHARE) * delta / (strata * len(RULES))))
+    steps = tests.groupBy("stratum", F.col("t.rule").alias("rule")).agg(
+        F.coalesce(F.min(F.when(fails, F.col("t.step"))), F.lit(STEPS)).alias("steps"))
+    wide = steps.groupBy("stratum").agg(F.max(F.when(F.col("rule") == "", F.col("steps"))).alias("joint"),
+                                        F.max(F.when(F.col("rule") != "", F.col("steps"))).alias("single"),
+                                        *[F.max(F.when(F.col("rule") == rule, F.col("steps"))).alias(rule) for rule in RULES])
+    used = lambda rule: F.when(F.col("single") > 0, F.col(rule)).otherwise(F.col("joint"))
+    cutoff = lambda rule: F.get(F.array(*map(F.lit, RULES[rule][2])), used(rule) - 1)  # noqa: E731  null before the first
+    return wide.where(F.greatest("joint", "single") > 0).select("stratum", *[cutoff(rule).alias(rule) for rule in RULES])
 
 
 def judge(df: DataFrame, labels: DataFrame, label_col: str, stratum: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -171,14 +200,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
+    exceeds = lambda rule, cut: f"{RULES[rule][0]} / greatest({RULES[rule][1]}, 1) > {cut}"
+    share, strata = RISK / len(RULES), "(SELECT count(DISTINCT stratum) FROM good)"
+    rows = [(rule, i, exceeds(rule, cut), share, f"{(1 - JOINT_SHARE) * DELTA!r} / ({strata} * {len(RULES)})")
+            for rule, (_, _, cutoffs) in RULES.items() for i, cut in enumerate(cutoffs)]
+    rows += [("joint", i, " OR ".join(exceeds(rule, RULES[rule][2][i]) for rule in RULES), RISK, f"{JOINT_SHARE * DELTA!r} / {strata}") for i in range(STEPS)]
     trials = " UNION ALL ".join(
-        f"SELECT stratum, '{rule}' AS rule, {cut} AS cutoff, count(*) AS n,"
-        f" count(*) FILTER ({above} / greatest({below}, 1) > {cut}) AS k FROM good GROUP BY stratum"
-        for rule, (above, below, cutoffs) in RULES.items() for cut in cutoffs)
-    number = sum(len(c) for *_, c in RULES.values())
-    share = RISK / len(RULES)
+        f"SELECT stratum, '{rule}' AS rule, {i} AS step, {p!r}::DOUBLE AS p, {level} AS level, count(*) AS n, count(*) FILTER ({test}) AS k"
+        f" FROM good GROUP BY stratum" for rule, i, test, p, level in rows)
+    lists = " ".join(f"WHEN '{rule}' THEN {cutoffs!r}" for rule, (_, _, cutoffs) in RULES.items())
     rejected = " OR ".join(
-        f"coalesce({above} / greatest({below}, 1) > (SELECT min(cutoff) FROM admitted a WHERE a.stratum = m.stratum AND rule = '{rule}'), false)"
+        f"coalesce({above} / greatest({below}, 1) > (SELECT cutoff FROM chosen a WHERE a.stratum = m.stratum AND rule = '{rule}'), false)"
         for rule, (above, below, _) in RULES.items())
     spaces = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     return rf"""
@@ -205,10 +237,13 @@ m AS (SELECT d.doc_id, d.stratum, coalesce(p.n_words, 0)::BIGINT AS n_words,
 judged AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m),
 good AS (SELECT * FROM judged WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1)),
 trials AS ({trials}),
-admitted AS (
-  SELECT t.* FROM trials t, generate_series(0, 100000) AS s(i) WHERE k <= n * {share!r} AND i <= k
-  GROUP BY t.stratum, t.rule, t.cutoff, t.n, t.k HAVING sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share!r}) + (n - i) * ln(1 - {share!r})))
-    <= {DELTA} / ((SELECT count(DISTINCT stratum) FROM good) * {number}))
+tails AS (SELECT t.stratum, t.rule, t.step, any_value(k <= n * p) AS few, any_value(level) AS level,
+    sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(p) + (n - i) * ln(1 - p))) AS tail
+  FROM trials t, generate_series(0, 100000) AS s(i) WHERE i <= k GROUP BY t.stratum, t.rule, t.step),
+passed AS (SELECT stratum, rule, coalesce(min(step) FILTER (NOT (few AND tail <= level)), {STEPS}) AS steps FROM tails GROUP BY stratum, rule),
+used AS (SELECT r.stratum, r.rule, CASE WHEN (SELECT max(steps) FROM passed a WHERE a.stratum = r.stratum AND a.rule <> 'joint') > 0 THEN r.steps
+    ELSE j.steps END AS steps FROM passed r JOIN passed j ON j.stratum = r.stratum AND j.rule = 'joint' WHERE r.rule <> 'joint'),
+chosen AS (SELECT stratum, rule, (CASE rule {lists} END)[steps] AS cutoff FROM used WHERE steps > 0)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR {rejected}) AS kept
 FROM judged m
