@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,12 +30,17 @@ BITS = 16
 #: The labelled sample: so many texts a language in order of a hash of the id, of up to so many characters each.
 SAMPLE_TEXTS, SAMPLE_CHARS = 250, 20_000
 SEGMENT = 32
-_WORDS = re.compile(r"[^\W\d_]{1,48}")
+#: So many numbers (words x languages, or words x languages squared / 8) are worked on at once, whatever the length of the texts.
+PIECE = 4_000_000
+_PLAIN_WORDS = re.compile(r"[a-z]{1,48}")
+_WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]{0,47}\p{M}*+")
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters; one of more than 48 (a clause in a script without blanks) is cut into consecutive words of up to 48."""
-    return _WORDS.findall(text.lower())
+    """Runs of letters and the marks on them (vowel signs, accents); one of more than 48 characters (a clause in a script without
+    blanks) is cut into consecutive words of up to 48.  Number signs such as ``½`` or ``Ⅷ`` are no letters.
+    """
+    return (_PLAIN_WORDS if text.isascii() else _WORDS).findall(text.lower())
 
 
 @dataclass(frozen=True)
@@ -98,8 +104,36 @@ def _normal(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def marginals(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray) -> np.ndarray:
-    """Probabilities word x language for texts of ``counts`` words, one after the other."""
+def _products(emit: np.ndarray, step: np.ndarray, at: list[np.ndarray], live: list[np.ndarray]) -> np.ndarray:
+    """The product of the step matrices of each segment, scaled."""
+    k = len(step)
+    product = np.broadcast_to(np.eye(k), (len(at[0]), k, k))
+    for t in range(SEGMENT):
+        after = (product @ step) * emit[at[t]][:, None, :]
+        after /= after.sum(axis=(1, 2), keepdims=True)
+        product = np.where(live[t][:, :, None], after, product)
+    return product
+
+
+def before_piece(scores: np.ndarray, transitions: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The backward vector before a piece of one text, from the one behind it."""
+    emit = np.exp(scores - scores.max(axis=1, keepdims=True))
+    first = np.arange(0, len(scores), SEGMENT)
+    size = np.minimum(len(scores) - first, SEGMENT)
+    at = [first + np.minimum(t, size - 1) for t in range(SEGMENT)]
+    product = _products(emit, np.exp(transitions - transitions.max()), at, [(t < size)[:, None] for t in range(SEGMENT)])
+    for one in product[::-1]:
+        last = _normal(one @ last)
+    return last
+
+
+def marginals(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray, before: np.ndarray | None = None,
+              behind: np.ndarray | None = None) -> np.ndarray:
+    """Probabilities word x language for texts of ``counts`` words, one after the other.
+
+    A piece from the middle of one text takes the forward vector before it and the backward vector behind it; the former is changed in place into
+    the one at its end.
+    """
     n, k = scores.shape
     emit = np.exp(scores - scores.max(axis=1, keepdims=True)) if n else scores
     step = np.exp(transitions - transitions.max())
@@ -110,12 +144,10 @@ def marginals(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray) -
     size = np.minimum(counts[text] - place * SEGMENT, SEGMENT)
     at = [first + np.minimum(t, size - 1) for t in range(SEGMENT)]
     live = [(t < size)[:, None] for t in range(SEGMENT)]
-    product = np.broadcast_to(np.eye(k), (len(text), k, k))
-    for t in range(SEGMENT):
-        after = (product @ step) * emit[at[t]][:, None, :]
-        after /= after.sum(axis=(1, 2), keepdims=True)
-        product = np.where(live[t][:, :, None], after, product)
+    product = _products(emit, step, at, live)
     into, out = np.full((len(text), k), 1 / k), np.full((len(text), k), 1 / k)
+    if before is not None:
+        into[0], out[-1] = before, behind
     by_place = np.argsort(place, kind="stable")
     layers = np.split(by_place, np.cumsum(np.bincount(place))[:-1]) if len(place) else []
     for layer in layers[1:]:
@@ -126,6 +158,8 @@ def marginals(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray) -
     for t in range(SEGMENT):
         into = np.where(live[t], _normal(into @ step * emit[at[t]]), into)
         forward[t] = into
+    if before is not None:
+        before[:] = into[-1]
     result = np.empty((n, k))
     for t in range(SEGMENT - 1, -1, -1):
         on = live[t][:, 0]
@@ -233,23 +267,47 @@ class Labeller:
     def _forget(self) -> None:
         self.words, self.scores = WordNumbers(), np.zeros((0, len(self.model.languages)))
 
-    def words_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities word x language, one text after the other, and each text's number of words."""
+    def pieces(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(number of the first text, words of each text, probabilities word x language) of consecutive texts, or of a piece of a long one."""
         if len(self.words) > self.limit:
             self._forget()
         at, counts = self.words.number(texts, words_of)
-        self.scores = np.concatenate((self.scores, emissions(self.words.since(len(self.scores)), self.model)))
-        return marginals(self.scores[at], counts, self.model.transitions), counts
+        new, k = self.words.since(len(self.scores)), len(self.model.languages)
+        self.scores = np.concatenate([self.scores, *(emissions(new[i:i + 50_000], self.model) for i in range(0, len(new), 50_000))])
+        most = max(SEGMENT, PIECE // max(k, k * k // 8))
+        ends = np.cumsum(counts)
+        first = 0
+        while first < len(texts):
+            begin = int(ends[first] - counts[first])
+            stop = max(first + 1, int(np.searchsorted(ends, begin + most, "right")))
+            if counts[first] <= most:
+                yield first, counts[first:stop], marginals(self.scores[at[begin:ends[stop - 1]]], counts[first:stop], self.model.transitions)
+            else:
+                yield from ((first, np.array([len(found)]), found) for found in self._long(at[begin:ends[first]], most))
+            first = stop
+
+    def _long(self, at: np.ndarray, most: int) -> Iterator[np.ndarray]:
+        """The probabilities of a long text in pieces: backward vectors between them first, then each piece with its forward vector."""
+        k, moves = len(self.model.languages), self.model.transitions
+        parts = [at[i:i + most] for i in range(0, len(at), most)]
+        behind = [np.full(k, 1 / k)]
+        for part in parts[:0:-1]:
+            behind.append(before_piece(self.scores[part], moves, behind[-1]))
+        before = np.full(k, 1 / k)
+        for part in parts:
+            yield marginals(self.scores[part], np.array([len(part)]), moves, before, behind.pop())
 
     def texts(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
         if not self.model.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        found, counts = self.words_of(texts)
-        sums = np.zeros((len(texts), len(self.model.languages)))
+        sums, counts = np.zeros((len(texts), len(self.model.languages))), np.zeros(len(texts), np.int64)
+        for first, own, found in self.pieces(texts):
+            at = first + np.flatnonzero(own)
+            if len(at):
+                sums[at] += _sums(found, own[own > 0])
+            counts[first:first + len(own)] += own
         some = counts > 0
-        if some.any():
-            sums[some] = _sums(found, counts[some])
         best = sums.argmax(axis=1)
         score = np.where(some, sums[np.arange(len(texts)), best] / np.maximum(counts, 1), 0)
         return [self.model.languages[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist(), strict=True)], score.clip(0, 1)
@@ -279,11 +337,11 @@ def label_words(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value)
         for rows, texts in text_blocks(batches, "text"):
-            if labeller.model.languages:
-                found, counts = labeller.words_of(texts)
-                best = found.argmax(axis=1)
-            else:
-                counts = np.zeros(len(texts), np.int64)
+            counts, labels = np.zeros(len(texts), np.int64), []
+            for first, own, found in labeller.pieces(texts) if labeller.model.languages else ():
+                counts[first:first + len(own)] += own
+                labels.append(found.argmax(axis=1))
+            best = np.concatenate(labels) if labels else np.zeros(0, np.int64)
             spans, end = [], 0
             for n in counts.tolist():
                 own, end = best[end:end + n] if n else [], end + n

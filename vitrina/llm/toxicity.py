@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from vitrina.llm.common import WordNumbers, held_out, map_arrow, mix64, shared_table, table, text_blocks
 
 BITS = 20
-#: The labelled sample: so many rows in order of a hash of their id, of texts up to so many characters.
-SAMPLE_ROWS, SAMPLE_CHARS = 20_000, 40_000
+#: The labelled sample: so many rows in order of a hash of their id, of texts up to so many characters, with so many features together (4 bytes each).
+SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_FEATURES = 20_000, 40_000, 16_000_000
 THRESHOLD = 0.3
 _WORDS = re.compile(r"\w+")
 
@@ -99,8 +99,10 @@ def train(rows: list[tuple[np.ndarray, int]], bits: int = BITS, epochs: int = 5,
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS,
-        sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS, **ftrl: float) -> Model:
-    """Learn from the labelled rows whose id is not in the held-out fold, at most ``sample_rows`` of them."""
+        sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS, sample_features: int = SAMPLE_FEATURES, **ftrl: float) -> Model:
+    """Learn from the labelled rows whose id is not in the held-out fold, at most ``sample_rows`` of them, and as many of these as have
+    ``sample_features`` features together.
+    """
     order = F.xxhash64(F.lit("sample"), "id")
     chosen = shared_table(
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -118,13 +120,21 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
             yield pa.record_batch([rows.column("id"), rows.column("label"), places], names=["id", "label", "places"])
 
     kind = texts.schema["id"].dataType.simpleString()
-    found = (map_arrow(texts, features, f"id {kind}, label int, places array<int>")
-             .orderBy(order, "id", "label", F.xxhash64("places")).limit(sample_rows).toArrow())
-    marks, places = found.column("label").to_pylist(), found.column("places").combine_chunks()
-    del found  # the chunks are a copy
-    ends = places.offsets.to_numpy()
-    flat = places.values.to_numpy()
-    return train([(flat[a:b], y) for a, b, y in zip(ends[:-1], ends[1:], marks, strict=True)], bits, **ftrl)
+    found = shared_table(map_arrow(texts, features, f"id {kind}, label int, places array<int>").select(
+        "label", "places", F.struct(order.alias("o"), "id", "label", F.xxhash64("places").alias("h")).alias("place")), "features")
+    sizes = found.select("place", F.size("places").alias("n")).orderBy("place").limit(sample_rows).collect()
+    total = np.cumsum([r["n"] for r in sizes])
+    taken = int(np.searchsorted(total, sample_features, "right"))
+    if not taken:
+        return train([], bits, **ftrl)
+    last = sizes[taken - 1]["place"]
+    upto = F.struct(F.lit(last["o"]).alias("o"), F.lit(last["id"]).cast(kind).alias("id"), F.lit(last["label"]).alias("label"), F.lit(last["h"]).alias("h"))
+    chunks = found.where(F.col("place") <= upto).orderBy("place").limit(taken).select("label", "places").toArrow().to_batches()
+    rows = []
+    for chunk in chunks:  # views of the chunks: the sample is held once
+        ends, flat = chunk.column("places").offsets.to_numpy(), chunk.column("places").values.to_numpy()
+        rows += [(flat[a:b], y) for a, b, y in zip(ends[:-1], ends[1:], chunk.column("label").to_pylist(), strict=True)]
+    return train(rows, bits, **ftrl)
 
 
 def _scores(batches: Iterator[pa.RecordBatch], text_col: str, model: Model) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
