@@ -36,6 +36,7 @@ def parse(argv=None) -> argparse.Namespace:
     ap.add_argument("--open-from", default=defaults.open_from)
     ap.add_argument("--open-to", default=defaults.open_to)
     ap.add_argument("--development-to", default=defaults.development_to)
+    ap.add_argument("--key-filter-bits", type=int, help="filter the fact scans by the run's products, for product tables too large to broadcast")
     ap.add_argument("--strict", action="store_true", help="fail on unparsable exposure texts and zero order counts")
     return ap.parse_args(argv)
 
@@ -45,7 +46,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     chosen = args.category or [Params().category]
     p = Params(closed_from=args.closed_from, closed_to=args.closed_to, open_from=args.open_from,
                open_to=args.open_to, category=chosen[0], categories=tuple(chosen) if len(chosen) > 1 else (), development_to=args.development_to,
-               strict=args.strict)
+               strict=args.strict, key_filter_bits=args.key_filter_bits)
     tables = read_tables(job_session(spark), args.root, args.format, normalised=args.normalised)
     write_features(feature_table(tables, p), args.out)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import codes
 from ..functions.columns import CAMP, CUC
+from ..functions.key_filter import KeyFilter
 from ..params import Params
 from ..sources.tables import Tables
 
@@ -37,6 +38,16 @@ class Dims:
     offer_types: DataFrame            # PKTipoOferta, CodTipoOferta (every offer type)
     offer_types_catalogue: DataFrame  # the same, catalogue sale only
     offer_types_base: DataFrame       # catalogue sale and one of the base codes
+    described_keys: KeyFilter | None = None   # the keys of products_described, where the run asks for filters
+    scope_keys: KeyFilter | None = None       # the keys of products_in_scope
+
+    def described(self, facts: DataFrame) -> DataFrame:
+        """The facts without most rows of other products; the join with ``products_described`` must follow."""
+        return facts if self.described_keys is None else facts.filter(self.described_keys.might_hold(F.col(PK)))
+
+    def in_scope(self, facts: DataFrame, key: str = PK) -> DataFrame:
+        """The facts without most rows out of scope; the join with ``products_in_scope`` must follow."""
+        return facts if self.scope_keys is None else facts.filter(self.scope_keys.might_hold(F.col(key)))
 
 
 def prepare_dims(t: Tables, p: Params) -> Dims:
@@ -59,4 +70,6 @@ def prepare_dims(t: Tables, p: Params) -> Dims:
         offer_types=offer_type.select(PKTO, CODTO),
         offer_types_catalogue=catalogue,
         offer_types_base=catalogue.filter(F.col(CODTO).isin(*codes.OFFER_CODES_ALL)),
+        described_keys=p.key_filter_bits and KeyFilter(described, PK, p.key_filter_bits),
+        scope_keys=p.key_filter_bits and KeyFilter(in_scope, PK, p.key_filter_bits),
     )

@@ -15,7 +15,7 @@ from .dims import CATEGORY, PK, PKTO, Dims
 def _estimate_rows(t: Tables, p: Params, d: Dims) -> DataFrame:
     est = t.estimates.filter((F.col(CAMP) == F.col("AnioCampanaRef"))
                              & F.col(CAMP).between(*p.span))
-    return est.join(d.products_described.select(PK, CUC, *_by_category(p)), PK)
+    return d.described(est).join(d.products_described.select(PK, CUC, *_by_category(p)), PK)
 
 
 def _by_category(p: Params) -> list[str]:

@@ -27,7 +27,8 @@ def supported_products(t: Tables, p: Params, d: Dims, scoped: bool = False) -> D
         F.col(PK).alias("PKProductoApoyador"), CUC)
     supported = d.products.select(F.col(PK).alias("PKProductoApoyado"), F.col(CUC).alias("_cuc_supported"))
     offer = d.offer_types.select(F.col(PKTO).alias("PKTipoOfertaApoyador"), CODTO)
-    pairs = (t.support.filter(F.col(CAMP).between(*p.span))
+    given = t.support.filter(F.col(CAMP).between(*p.span))
+    pairs = ((d.in_scope(given, "PKProductoApoyador") if scoped else given)
              .join(supporter, "PKProductoApoyador")
              .join(supported, "PKProductoApoyado")
              .join(offer, "PKTipoOfertaApoyador"))

@@ -40,7 +40,7 @@ def _plan_rows(t: Tables, p: Params, d: Dims, window: tuple[str, str], scoped: b
     """
     plan = t.plan.filter(F.col(CAMP).between(*window) & F.col("DesTipoCatalogo").isin(*codes.CATALOGUES))
     products = d.products_in_scope if scoped else d.products
-    return plan.join(d.offer_types_catalogue, PKTO).join(products, PK)
+    return (d.in_scope(plan) if scoped else plan).join(d.offer_types_catalogue, PKTO).join(products, PK)
 
 
 def _maxima() -> list[Column]:

@@ -27,6 +27,8 @@ class Params:
     categories: tuple[str, ...] = ()
     part_from: str = "000000"
     part_to: str = "999999"
+    # Bits of the key filters of the run's products at the fact scans, a power of two; for product tables beyond the broadcast limit.
+    key_filter_bits: int | None = None
 
     def __post_init__(self):
         for name in ("closed_from", "closed_to", "open_from", "open_to", "development_to", "part_from", "part_to"):
