@@ -1,0 +1,70 @@
+"""Extended and refreshed tables equal a run over the whole windows, every column."""
+
+import random
+
+import pytest
+
+import world as w
+from vitrina.params import Params
+from vitrina.plans.feature_job import feature_table
+from vitrina.plans.incremental import changed_campaigns, extend, fingerprints, refresh
+from vitrina.plans.settings import job_session
+from vitrina.plans.sink import read_features, write_features
+
+CAMPS = ["201401", "201403", "201405", "201714", "201715", "201716"]
+CATEGORIES = (w.CAT, "FRAGANCIAS")
+
+
+def facts(camps, seed=4):
+    draw = random.Random(seed)
+    products = [w.product(pk, f"C{pk // 5}", cat="FRAGANCIAS" if pk % 4 == 0 else w.CAT) for pk in range(20)]
+    plans, sales, ests, supports = [], [], [], []
+    for camp in CAMPS:  # the same draws whatever is kept
+        key = lambda: (camp, draw.randrange(20), draw.randint(1, 4))
+        own = ([w.plan(*key(), price=draw.choice([7.3, 11.0, 0.0])) for _ in range(25)], [w.sale(*key()) for _ in range(20)],
+               [w.est(*key()) for _ in range(8)], [(camp, draw.randrange(20), draw.randrange(20), 1) for _ in range(5)])
+        if camp in camps:
+            for rows, more in zip((plans, sales, ests, supports), own, strict=True):
+                rows += more
+    return products, sales, plans, ests, supports
+
+
+def rows(df):
+    return sorted(repr({k: r[k] for k in sorted(r.asDict())}) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def job(spark):
+    return job_session(spark)
+
+
+@pytest.mark.parametrize("categories", [(), CATEGORIES])
+def test_two_runs_equal_one(job, tmp_path, categories):
+    p, path = Params(categories=categories), f"{tmp_path}/features"
+    t = w.tables(job, *facts(CAMPS))
+    write_features(feature_table(t, p.with_(part_to="201403")), path)
+    assert {r.AnioCampana for r in read_features(job, path).collect()} == {"201401", "201403"}
+    extend(t, p, path)
+    assert rows(read_features(job, path)) == rows(feature_table(t, p))
+    extend(t, p, path)  # nothing to add
+    assert rows(read_features(job, path)) == rows(feature_table(t, p))
+
+
+def test_a_changed_campaign_is_found_and_the_later_numbers_follow(job, tmp_path):
+    p, path = Params(categories=CATEGORIES), f"{tmp_path}/features"
+    old = w.tables(job, *facts(CAMPS[1:]))          # the first campaign comes late,
+    write_features(feature_table(old, p), path)
+    new = w.tables(job, *facts([c for c in CAMPS if c != "201405"]))  # and another one is withdrawn
+    assert changed_campaigns(fingerprints(old), fingerprints(new)) == ["201401", "201405"]
+    assert refresh(new, p, path, fingerprints(old)) == ["201401", "201405"]
+    assert rows(read_features(job, path)) == rows(feature_table(new, p))
+    assert refresh(new, p, path, fingerprints(new)) == []
+
+
+def test_fingerprints_do_not_depend_on_order(job):
+    products, *given = facts(CAMPS)
+    a = w.tables(job, products, *given)
+    b = w.tables(job, products, *[list(reversed(x)) for x in given])
+    assert changed_campaigns(fingerprints(a), fingerprints(b)) == []
+    given[0][0] = (*given[0][0][:-1], given[0][0][-1] + 1)
+    assert changed_campaigns(fingerprints(a), fingerprints(w.tables(job, products, *given))) == ["201401"]
