@@ -68,3 +68,14 @@ def test_fingerprints_do_not_depend_on_order(job):
     assert changed_campaigns(fingerprints(a), fingerprints(b)) == []
     given[0][0] = (*given[0][0][:-1], given[0][0][-1] + 1)
     assert changed_campaigns(fingerprints(a), fingerprints(w.tables(job, products, *given))) == ["201401"]
+
+
+def test_stored_tables_are_removed_after_the_run(spark, job):
+    from pathlib import Path
+
+    from vitrina.session import ensure_checkpoint_dir, remove_stored, stored
+    remove_stored(spark)
+    assert stored(job.range(3), "scratch").count() == 3
+    left = lambda: list(Path(ensure_checkpoint_dir(spark).removeprefix("file:")).glob("scratch-*"))
+    assert len(left()) == 1
+    assert remove_stored(spark) == 1 and not left() and remove_stored(spark) == 0

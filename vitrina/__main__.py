@@ -19,7 +19,7 @@ from .params import Params
 from .plans.feature_job import feature_table
 from .plans.settings import job_session
 from .plans.sink import write_features
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, remove_stored
 from .sources.tables import read_tables
 
 
@@ -53,7 +53,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def main(argv=None) -> None:
     spark = SparkSession.builder.appName("vitrina").getOrCreate()
-    run(spark, parse(argv))
+    try:
+        run(spark, parse(argv))
+    finally:
+        remove_stored(spark)
 
 
 if __name__ == "__main__":

@@ -40,8 +40,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_stored: dict[str, list[str]] = {}
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as parquet below the shared checkpoint folder, and read back: lineage cut, true sizes."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _stored.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_stored(spark: SparkSession) -> int:
+    """Delete what this application has ``stored``, when its results are written; frames that read it can't be used after that."""
+    paths = _stored.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)
