@@ -18,9 +18,7 @@ OFFER_KEYS = [CAMP, CUC, *DESCRIBED, CODTO, PKTO, "FlagCatalogo", "FlagRevista",
 def _closed_sales_rows(t: Tables, p: Params, d: Dims) -> DataFrame:
     sales = t.sales.filter(F.col(CAMP).between(*p.closed)
                            & (F.col(CAMP) == F.col("AnioCampanaRef")))
-    return (d.described(sales).select(CAMP, PK, PKTO, "RealUUVendidas", "RealUUFaltantes")
-            .join(d.products_cosmetic, PK)
-            .join(d.offer_types_base, PKTO))
+    return d.with_catalogue_offer(d.with_described(sales, cosmetic=True), base=True)
 
 
 def closed_sales_base(t: Tables, p: Params, d: Dims) -> DataFrame:
@@ -42,8 +40,8 @@ def open_plan_base(t: Tables, p: Params, d: Dims) -> DataFrame:
 
     Unlike closed rows, open rows are not restricted to the cosmetics unit.
     """
-    plan = t.plan.filter(F.col(CAMP).between(*p.open)).select(CAMP, PK, PKTO)
-    rows = d.described(plan).join(d.products_described, PK).join(d.offer_types_base, PKTO)
+    plan = t.plan.filter(F.col(CAMP).between(*p.open))
+    rows = d.with_catalogue_offer(d.with_described(plan), base=True)
     return rows.select(CAMP, CUC, PK, *DESCRIBED, CODTO, PKTO,
                        *[c.alias(n) for n, c in channel_flags(F.col(CODTO)).items()],
                        F.lit(0).cast("bigint").alias("RealUUVendidas"),

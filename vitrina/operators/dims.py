@@ -2,6 +2,7 @@
 
 There are no hints: Spark broadcasts a dimension that its size estimate, or
 the size measured at runtime, puts below ``spark.sql.autoBroadcastJoinThreshold``.
+Facts that carry their dimensions' columns (``sources.colocated``) are filtered by them instead of joined.
 """
 
 from __future__ import annotations
@@ -28,8 +29,13 @@ def offer_group(df: DataFrame) -> list[str]:
     return [CAMP, CUC] + [CATEGORY] * (CATEGORY in df.columns)
 
 
+#: On facts that carry their product's columns: the categories that products of the row's CUC have.
+CUC_CATEGORIES = "CategoriasCUC"
+
+
 @dataclass(frozen=True)
 class Dims:
+    categories: tuple[str, ...]       # of the run
     products: DataFrame               # PKProducto, CodCUC (every product)
     products_described: DataFrame     # PKProducto, CodCUC, DesMarca, CodCategoria, DesCategoria (categories of the run)
     products_cosmetic: DataFrame      # the same, cosmetics unit only
@@ -49,6 +55,28 @@ class Dims:
         """The facts without most rows out of scope; the join with ``products_in_scope`` must follow."""
         return facts if self.scope_keys is None else facts.filter(self.scope_keys.might_hold(F.col(key)))
 
+    def with_described(self, facts: DataFrame, cosmetic: bool = False) -> DataFrame:
+        """The facts of the run's categories (and of the cosmetics unit) with CUC, brand and category."""
+        if CUC not in facts.columns:
+            return self.described(facts).join(self.products_cosmetic if cosmetic else self.products_described, PK)
+        rows = facts.filter(F.col(CATEGORY).isin(*self.categories))
+        return rows.filter(F.col("DesUnidadNegocio") == codes.COSMETICS_UNIT) if cosmetic else rows
+
+    def with_cuc(self, facts: DataFrame, scoped: bool = False, key: str = PK) -> DataFrame:
+        """The facts whose product exists with its CUC; ``scoped``: only CUCs that have a product of the run's categories."""
+        if CUC not in facts.columns:
+            products = (self.products_in_scope if scoped else self.products).withColumnRenamed(PK, key)
+            return (self.in_scope(facts, key) if scoped else facts).join(products, key)
+        wanted = F.arrays_overlap(CUC_CATEGORIES, F.array(*map(F.lit, self.categories)))
+        return facts.filter(F.col(CUC).isNotNull() & wanted) if scoped else facts
+
+    def with_catalogue_offer(self, facts: DataFrame, base: bool = False) -> DataFrame:
+        """The facts sold by catalogue, with the offer code; ``base``: with one of the base codes."""
+        if CODTO not in facts.columns:
+            return facts.join(self.offer_types_base if base else self.offer_types_catalogue, PKTO)
+        rows = facts.filter(F.col("CodTipoProfit") == codes.CATALOGUE_PROFIT_TYPE)
+        return rows.filter(F.col(CODTO).isin(*codes.OFFER_CODES_ALL)) if base else rows
+
 
 def prepare_dims(t: Tables, p: Params) -> Dims:
     product = t.product
@@ -62,6 +90,7 @@ def prepare_dims(t: Tables, p: Params) -> Dims:
     in_scope = product.select(PK, CUC).join(scope_cucs, CUC, "left_semi")
     catalogue = offer_type.filter(F.col("CodTipoProfit") == codes.CATALOGUE_PROFIT_TYPE).select(PKTO, CODTO)
     return Dims(
+        categories=wanted,
         products=product.select(PK, CUC),
         products_described=described.drop("DesUnidadNegocio"),
         products_cosmetic=described.filter(F.col("DesUnidadNegocio") == codes.COSMETICS_UNIT).drop("DesUnidadNegocio"),

@@ -9,13 +9,13 @@ from .. import codes
 from ..functions.columns import CAMP, CUC
 from ..params import Params
 from ..sources.tables import Tables
-from .dims import CATEGORY, PK, PKTO, Dims
+from .dims import CATEGORY, PKTO, Dims
 
 
 def _estimate_rows(t: Tables, p: Params, d: Dims) -> DataFrame:
     est = t.estimates.filter((F.col(CAMP) == F.col("AnioCampanaRef"))
                              & F.col(CAMP).between(*p.span))
-    return d.described(est).join(d.products_described.select(PK, CUC, *_by_category(p)), PK)
+    return d.with_described(est)
 
 
 def _by_category(p: Params) -> list[str]:

@@ -11,6 +11,9 @@ from ..params import Params
 from ..sources.tables import Tables
 from .dims import CODTO, PK, PKTO, Dims
 
+#: CUC of the supported product, on support rows.
+SUPPORTED_CUC = "CodCUCApoyado"
+
 
 def supported_products(t: Tables, p: Params, d: Dims, scoped: bool = False) -> DataFrame:
     """OP-13: (campaign, supporter CUC, supporter offer code) groups supported by
@@ -23,17 +26,14 @@ def supported_products(t: Tables, p: Params, d: Dims, scoped: bool = False) -> D
     With ``scoped``, supporters are limited to CUCs of the run category (the
     groups are only ever matched against such CUCs).
     """
-    supporter = (d.products_in_scope if scoped else d.products).select(
-        F.col(PK).alias("PKProductoApoyador"), CUC)
-    supported = d.products.select(F.col(PK).alias("PKProductoApoyado"), F.col(CUC).alias("_cuc_supported"))
-    offer = d.offer_types.select(F.col(PKTO).alias("PKTipoOfertaApoyador"), CODTO)
     given = t.support.filter(F.col(CAMP).between(*p.span))
-    pairs = ((d.in_scope(given, "PKProductoApoyador") if scoped else given)
-             .join(supporter, "PKProductoApoyador")
-             .join(supported, "PKProductoApoyado")
-             .join(offer, "PKTipoOfertaApoyador"))
+    pairs = d.with_cuc(given, scoped, "PKProductoApoyador")
+    if SUPPORTED_CUC not in pairs.columns:
+        supported = d.products.select(F.col(PK).alias("PKProductoApoyado"), F.col(CUC).alias(SUPPORTED_CUC))
+        offer = d.offer_types.select(F.col(PKTO).alias("PKTipoOfertaApoyador"), CODTO)
+        pairs = pairs.join(supported, "PKProductoApoyado").join(offer, "PKTipoOfertaApoyador")
     return (pairs.groupBy(CAMP, CUC, CODTO)
-            .agg(F.countDistinct("_cuc_supported").alias("NroApoyados"))
+            .agg(F.countDistinct(SUPPORTED_CUC).alias("NroApoyados"))
             .filter(F.col("NroApoyados") < codes.SUPPORT_LIMIT))
 
 

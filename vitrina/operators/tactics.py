@@ -39,8 +39,7 @@ def _plan_rows(t: Tables, p: Params, d: Dims, window: tuple[str, str], scoped: b
     CUCs can never match.  This cuts the plan to the category at the scan.
     """
     plan = t.plan.filter(F.col(CAMP).between(*window) & F.col("DesTipoCatalogo").isin(*codes.CATALOGUES))
-    products = d.products_in_scope if scoped else d.products
-    return (d.in_scope(plan) if scoped else plan).join(d.offer_types_catalogue, PKTO).join(products, PK)
+    return d.with_catalogue_offer(d.with_cuc(plan, scoped))
 
 
 def _maxima() -> list[Column]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import codes
 from ..functions.columns import CAMP, CUC, exposure_is_bad
-from ..operators.dims import CODTO, PK, PKTO, Dims
+from ..operators.dims import CODTO, PKTO, Dims
 from ..params import Params
 from ..sources.tables import Tables
 
@@ -40,10 +40,9 @@ def quality_metrics(t: Tables, p: Params, d: Dims) -> DataFrame:
     window = F.col(CAMP).between(*p.whole)
     plan = t.plan.filter(window)
     bad = plan.filter(exposure_is_bad(F.col("DesExposicion")))
-    priced = (plan.filter((F.col("PrecioOferta") > 0) & F.col(CAMP).between(*p.closed)
+    priced = (d.with_catalogue_offer(d.with_cuc(plan)).filter((F.col("PrecioOferta") > 0) & F.col(CAMP).between(*p.closed)
                           & (F.col("CodVenta") != codes.DUMMY_SALE_CODE)
                           & F.col("DesTipoCatalogo").isin(*codes.CATALOGUES))
-              .join(d.offer_types_catalogue, PKTO).join(d.products, PK)
               .groupBy(CAMP, CUC, CODTO).agg(F.countDistinct(PKTO).alias("_keys"))
               .filter(F.col("_keys") > 1))
     orders = t.orders.filter(window)
