@@ -579,9 +579,9 @@ def plain_line_dedup(rows):
         yield i, len(own), len(own) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()
 
 
-@pytest.mark.parametrize("hot_docs", [line_dedup.HOT_DOCS, 4])
-def test_line_dedup_equals_plain(spark, tmp_path, monkeypatch, hot_docs):
-    monkeypatch.setattr(line_dedup, "HOT_DOCS", hot_docs)
+@pytest.mark.parametrize("salts", [line_dedup.SALTS, 1])
+def test_line_dedup_equals_plain(spark, tmp_path, monkeypatch, salts):
+    monkeypatch.setattr(line_dedup, "SALTS", salts)
     rng = random.Random(13)
     pool = [f"{'Line' if k % 2 else 'line'} number {k} of the common pool É" for k in range(12)] + ["short", "", "  ", "x" * 19, "y" * 20]
     rows = [(i, "\n".join(rng.choice(pool).upper() if rng.random() < 0.2 else " " * rng.randrange(3) + rng.choice(pool)

@@ -4,7 +4,7 @@ Each line's key (stripped, A-Z lower-cased) is hashed to 128 bits.  The hashes a
 document and position and sorted within partitions, so a hot line is spread over partitions and the first occurrence of a key in
 a document is a streaming window over the sorted rows.  First occurrences are counted per key with partial
 aggregation; lines of recurring keys outside the largest document become cleared bits of the document's keep bitmap.
-The few keys with very many documents are broadcast to their rows, so no task receives all rows of a key.
+Recurring keys are joined back to their occurrences over salts, each key standing once for every salt, so no task receives all rows of a key.
 Only the bitmaps travel: sparse 64-line words, a word that is not listed keeps all its lines.
 
 A document is a distinct (id, text); repeated rows share one bitmap.  A null text counts as one empty line, a null id
@@ -22,8 +22,8 @@ from pyspark.sql import Window
 from vitrina.llm.common import SPACES, shared_table, table
 
 MIN_CHARS, MIN_DOCS = 20, 3
-#: A key is joined by broadcast above so many documents, and only where at most so many keys can be.
-HOT_DOCS, HOT_KEYS = 1000, 10_000
+#: Occurrences of a key are spread over so many salts when the recurring keys are joined back to them.
+SALTS = 8
 _WORD = 64
 
 
@@ -50,16 +50,16 @@ def keep_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"), "id", "print", "pos"))
     order = ["h1", "h2", "id", "print", "pos"]
     first = F.row_number().over(Window.partitionBy(*order[:4]).orderBy("pos")) == 1
-    ranged = shared_table(lines.repartitionByRange(*order[:4]).sortWithinPartitions(*order)
-                          .withColumn("first", first), "line-hashes")
+    # stored before they are ranged: range partitioning reads its input twice, and shall not hash the texts twice
+    hashed = shared_table(lines, "line-hashes")
+    ranged = shared_table(hashed.repartitionByRange(*order[:4]).sortWithinPartitions(*order)
+                          .withColumn("first", first), "line-ranges")
     recurring = shared_table(
         ranged.where("first").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("largest"))
         .where(F.col("docs") >= min_docs), "recurring")
-    # keys on more than one HOT_KEYS-th of the occurrences are at most HOT_KEYS: their rows stay where they are
-    hot_docs = max(HOT_DOCS, (recurring.agg(F.sum("docs")).first()[0] or 0) // HOT_KEYS)
-    hot = F.broadcast(recurring.where(F.col("docs") > hot_docs).drop("docs"))
-    cold = recurring.where(F.col("docs") <= hot_docs).drop("docs")
-    marked = ranged.join(hot, ["h1", "h2"]).unionByName(ranged.join(hot, ["h1", "h2"], "left_anti").join(cold, ["h1", "h2"]))
+    salted = recurring.select("h1", "h2", "largest", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salt = F.pmod(F.xxhash64("id", "print", "pos"), F.lit(SALTS)).cast("int")
+    marked = ranged.withColumn("salt", salt).join(salted, ["h1", "h2", "salt"])
     doomed = (marked.where(~F.col("id").eqNullSafe(F.col("largest")))
               .select("id", "print", (F.col("pos") / _WORD).cast("int").alias("word"),
                       F.expr(f"shiftleft(1L, pos % {_WORD})").alias("bit")))
