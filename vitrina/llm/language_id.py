@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import WordNumbers, held_out, map_arrow, mix64, ranges, shared_table, table, text_blocks
+from vitrina.llm.common import REMEMBERED_WORDS, WORD_BLOCK, WordNumbers, held_out, map_arrow, mix64, ranges, shared_table, table, text_blocks
 
 UNKNOWN = "und"
 BITS = 16
@@ -260,7 +260,7 @@ def fit(df: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col:
 class Labeller:
     """Labels texts with a model; remembers the scores of the words it has met, up to a bound."""
 
-    def __init__(self, model: Model, remembered: int = 400_000) -> None:
+    def __init__(self, model: Model, remembered: int = REMEMBERED_WORDS) -> None:
         self.model, self.limit = model, remembered
         self._forget()
 
@@ -320,7 +320,7 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value)
-        for rows, texts in text_blocks(batches, "text"):
+        for rows, texts in text_blocks(batches, "text", WORD_BLOCK):
             langs, scores = labeller.texts(texts)
             yield pa.record_batch([rows.column("id"), pa.array(langs, pa.string()), pa.array(scores)],
                                   names=["id", "lang_pred", "score"])
@@ -336,7 +336,7 @@ def label_words(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value)
-        for rows, texts in text_blocks(batches, "text"):
+        for rows, texts in text_blocks(batches, "text", WORD_BLOCK):
             counts, labels = np.zeros(len(texts), np.int64), []
             for first, own, found in labeller.pieces(texts) if labeller.model.languages else ():
                 counts[first:first + len(own)] += own
@@ -361,7 +361,7 @@ def with_language(df: DataFrame, model: Model, text_col: str = "text", least_sco
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value)
-        for rows, texts in text_blocks(batches, text_col):
+        for rows, texts in text_blocks(batches, text_col, WORD_BLOCK):
             langs, scores = labeller.texts(texts)
             yield rows.filter(pa.array([x != UNKNOWN and s >= least_score for x, s in zip(langs, scores.tolist(), strict=True)]))
 

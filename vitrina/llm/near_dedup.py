@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import map_arrow, shared_table, ship_package, table, text_blocks
+from vitrina.llm.common import WORD_BLOCK, map_arrow, shared_table, ship_package, table, text_blocks
 from vitrina.llm.components import connected_components
 from vitrina.llm.shingles import ShingleSets, band_keys, circulant_signatures
 
@@ -47,7 +47,7 @@ def set_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", band
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = ShingleSets()
-        for batch, texts in text_blocks(batches, "text"):
+        for batch, texts in text_blocks(batches, "text", WORD_BLOCK):
             sets = shingle([t or b"" for t in texts])
             some = [s for s in sets if len(s)]
             keys = band_keys(circulant_signatures(some, bands * rows), rows).view(np.int64) if some else np.zeros((0, bands), np.int64)
@@ -125,7 +125,7 @@ def confirmed_links(df: DataFrame, member: DataFrame, id_col: str = "doc_id", te
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = ShingleSets()
-        for batch, texts in text_blocks(batches, "text"):
+        for batch, texts in text_blocks(batches, "text", WORD_BLOCK):
             sets = shingle([t or b"" for t in texts])
             high, low = _digests(sets)
             same = (high == batch.column("h1").to_numpy()) & (low == batch.column("h2").to_numpy())

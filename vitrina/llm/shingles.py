@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from vitrina.llm.common import WordNumbers, mix64
+from vitrina.llm.common import REMEMBERED_WORDS, WordNumbers, mix64
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F], np.uint64)
 
@@ -17,7 +17,7 @@ class ShingleSets:
     shingle, all of them; a text without words has none.
     """
 
-    def __init__(self, width: int = 5, remembered: int = 400_000) -> None:
+    def __init__(self, width: int = 5, remembered: int = REMEMBERED_WORDS) -> None:
         if not 1 <= width <= len(_FACTORS):
             raise ValueError("width must be 1 to 5")
         self.width, self.limit = width, remembered

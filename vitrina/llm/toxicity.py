@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrina.llm.common import WordNumbers, held_out, map_arrow, mix64, shared_table, table, text_blocks
+from vitrina.llm.common import REMEMBERED_WORDS, WORD_BLOCK, WordNumbers, held_out, map_arrow, mix64, shared_table, table, text_blocks
 
 BITS = 20
 #: The labelled sample: so many rows in order of a hash of their id, of texts up to so many characters, with so many features together (4 bytes each).
@@ -45,7 +45,7 @@ class Model:
 class Features:
     """Hashed features of texts; remembers the hashes of the words it has met, up to a bound."""
 
-    def __init__(self, bits: int, remembered: int = 400_000) -> None:
+    def __init__(self, bits: int, remembered: int = REMEMBERED_WORDS) -> None:
         self.bits, self.limit = bits, remembered
         self._forget()
 
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract = Features(bits)
-        for rows, texts in text_blocks(batches, "text", 1_000_000):
+        for rows, texts in text_blocks(batches, "text", WORD_BLOCK):
             doc, place = extract(texts)
             pairs = np.unique(doc << bits | place)
             ends = np.searchsorted(pairs >> bits, np.arange(len(texts) + 1)).astype(np.int32)
@@ -139,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
 
 def _scores(batches: Iterator[pa.RecordBatch], text_col: str, model: Model) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     extract, weights = Features(model.bits), model.dense()
-    for rows, texts in text_blocks(batches, text_col):
+    for rows, texts in text_blocks(batches, text_col, WORD_BLOCK):
         if model.bias is None:
             yield rows, np.zeros(len(texts))
             continue
