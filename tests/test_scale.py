@@ -1,6 +1,9 @@
-"""What keeps shuffles and memory in proportion to the facts: lazy facts, one exchange by (campaign, CUC), partitions by rows."""
+"""What keeps shuffles and memory in proportion to the facts: lazy facts, one exchange by (campaign, CUC), partitions by rows, bounded broadcasts."""
 
 import re
+from dataclasses import replace
+
+from pyspark.sql import functions as F
 
 from vitrina.operators import flags, support, tactics
 from vitrina.operators.base import offer_grain_base
@@ -8,7 +11,8 @@ from vitrina.operators.dims import prepare_dims
 from vitrina.operators.estimates import estimate_summary
 from vitrina.params import Params
 from vitrina.plans.catalog import catalogue
-from vitrina.plans.settings import PARTITION_ROWS, job_session
+from vitrina.plans.feature_job import build
+from vitrina.plans.settings import BROADCAST_BYTES, PARTITION_ROWS, job_session
 
 from conftest import SMALL_SF
 from world import est, plan, product, sale, tables
@@ -67,3 +71,38 @@ def test_shuffle_partitions_follow_the_facts(spark):
     partitions = lambda rows: int(job_session(spark, fact_rows=rows).conf.get("spark.sql.shuffle.partitions"))
     assert partitions(10) == int(before) and partitions(1000 * PARTITION_ROWS + 1) == 1001
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def _in_bytes(session):
+    given = session.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return -1 if given == "-1" else session._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(given)
+
+
+def test_broadcast_limit_of_the_caller_holds_up_to_the_jobs(spark):
+    key, other = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    caller = spark.newSession()
+    for given, kept in (("10MB", BROADCAST_BYTES), ("1g", BROADCAST_BYTES), ("100k", 100 << 10), ("-1", -1)):
+        caller.conf.set(key, given)
+        assert _in_bytes(job_session(caller)) == kept and caller.conf.get(key) == given
+    caller.conf.set(other, "5m")
+    assert job_session(caller).conf.get(other) == str(BROADCAST_BYTES)
+
+
+def test_products_beyond_the_driver_are_not_broadcast(spark, tmp_path):
+    """300,000 products are a file below Spark's 10 MB, and some 30 MB of driver memory in every one of the job's product joins."""
+    caller = spark.newSession()
+    caller.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    own = job_session(caller)
+    small = _world(own)
+    key = F.col("id") + 1000
+    cuc = F.lpad(F.floor(F.col("id") / 20).cast("string"), 9, "9")
+    more = own.range(300_000).select(key.alias("PKProducto"), cuc.alias("CodCUC"), F.lit("LBEL").alias("DesMarca"), F.lit("0").alias("CodCategoria"),
+                                     F.lit("CUIDADO PERSONAL").alias("DesCategoria"), F.lit("COSMETICOS").alias("DesUnidadNegocio"))
+    small.product.unionByName(more).coalesce(1).write.parquet(str(tmp_path / "products"))
+    t = replace(small, product=own.read.schema(small.product.schema).parquet(str(tmp_path / "products")))
+    assert BROADCAST_BYTES < sum(f.stat().st_size for f in (tmp_path / "products").glob("*.parquet")) < 10 << 20
+    for p in (Params(), Params(categories=("CUIDADO PERSONAL", "MAQUILLAJE"))):
+        core = build(t, p, "BO").core
+        assert "BroadcastExchange" not in core._jdf.queryExecution().executedPlan().toString()
+    got = estimate_summary(t, Params(), prepare_dims(t, Params()), "PE").collect()
+    assert sorted((r.AnioCampana, r.CodCUC, r.NroEstimados) for r in got) == [("201401", f"{c:09d}", 10) for c in range(3)]
