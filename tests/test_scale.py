@@ -89,7 +89,7 @@ def test_broadcast_limit_of_the_caller_holds_up_to_the_jobs(spark):
 
 
 def test_products_beyond_the_driver_are_not_broadcast(spark, tmp_path):
-    """300,000 products are a file below Spark's 10 MB, and some 30 MB of driver memory in every one of the job's product joins."""
+    """300,000 products are a file below Spark's 10 MB, which every one of the job's product joins would build in the driver."""
     caller = spark.newSession()
     caller.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     own = job_session(caller)
